@@ -1,6 +1,6 @@
 """Named queries over the driver tables."""
 
-from . import quality  # noqa: F401
+from . import preprocessing, quality  # noqa: F401
 from .core import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

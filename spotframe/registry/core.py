@@ -106,6 +106,23 @@ FROM obs o CROSS JOIN var v LEFT JOIN logs c ON c.obs_id = o.obs_id AND c.var_id
   unnest(embedding)::DOUBLE AS x FROM embeddings""",
     ),
     "metric": ("", "SELECT event_id AS obs_id, event_type AS cluster, value AS x FROM events"),
+    # Variable genes by percentile-binned dispersion, 200 of them.
+    "ranger_scores": (
+        "dense_log",
+        """WITH g AS (SELECT var_id, CASE WHEN avg(exp(x) - 1) = 0 THEN 1e-12 ELSE avg(exp(x) - 1) END AS mean,
+    var_samp(exp(x) - 1) AS v FROM dense_log GROUP BY 1),
+  d AS (SELECT var_id, mean, v / mean AS disp FROM g),
+  e AS (SELECT unnest(quantile_cont(mean, [p / 100.0 FOR p IN range(10, 105, 5)])) AS edge FROM d),
+  b AS (SELECT d.*, (SELECT count(*) FROM e WHERE edge < d.mean) AS bin FROM d),
+  m AS (SELECT *, median(disp) OVER (PARTITION BY bin) AS med FROM b)
+SELECT *, (disp - med) / nullif(median(abs(disp - med)) OVER (PARTITION BY bin) / 0.6744897501960817, 0) AS score FROM m""",
+    ),
+    "ranger": (
+        "ranger_scores",
+        """SELECT var_id, mean, disp, score, coalesce(score >= (SELECT min(score) FROM (
+  SELECT score FROM ranger_scores WHERE score IS NOT NULL ORDER BY score DESC LIMIT 200)), false) AS highly_variable
+FROM ranger_scores""",
+    ),
     "neighbours": (
         "obs",
         """SELECT sample_id, src, dst, distance, rank FROM (
