@@ -72,16 +72,19 @@ def gene_stats(
     )
 
 
-def ordered_value_counts(df: DataFrame, by: Sequence[str], value: str, extra: Sequence[Column] = ()) -> DataFrame:
+def ordered_value_counts(
+    df: DataFrame, by: Sequence[str], value: str, extra: Sequence[Column] = (), weight: str | None = None
+) -> DataFrame:
     """Distinct values of each group in order, with frequency ``n``, ``n_below`` and ``n_total``.
 
     Repeated values collapse in a partial aggregation; the distinct values are then range-partitioned by
     (group, value), so a group of any size is spread over many tasks, and only per-partition totals are
-    accumulated. The partition ids are frozen by a written table. ``extra`` are further aggregates kept
-    per distinct value.
+    accumulated. The partition ids are frozen by a written table. ``weight`` is the multiplicity of a row,
+    ``extra`` are further aggregates kept per distinct value.
     """
     by = list(by)
-    distinct = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"), *extra)
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    distinct = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(size.alias("n"), *extra)
     parts = stable(distinct.repartitionByRange(*by, value).withColumn("_part", F.spark_partition_id()))
     totals = parts.groupBy(*by, "_part").agg(F.sum("n").alias("_part_n"))
     group = Window.partitionBy(*by)
