@@ -8,9 +8,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_two_sided(z: pd.Series) -> pd.Series:
     """P(|Z| >= |z|) of the standard normal distribution."""
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), na_action="ignore")
@@ -45,7 +46,7 @@ def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray, steps: int = 30
     return np.where(swap, 1.0 - value, value)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def student_two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     """P(|T| >= |t|) of Student's t with ``df`` degrees of freedom."""
     known = (t.notna() & df.notna()).to_numpy()
