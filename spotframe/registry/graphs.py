@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import fixtures as fx
 from ..functions.storage import stable
-from ..operators import domains, neighbours
+from ..operators import communities, domains, neighbours
 from .core import query, r, rounded, rs
 
 RADIUS = 8.0
@@ -132,11 +134,44 @@ e AS (SELECT a.sample_id, a.cluster, a.px * b.py - b.px * a.py AS turn FROM obs
     AND (b.px - a.px) * (o.py - a.py) - (b.py - a.py) * (o.px - a.px) <= 0)),
 h AS (SELECT sample_id, cluster, sum(turn) / 2 AS area FROM e GROUP BY 1, 2)
 SELECT sample_id, cluster, n_spots, {rs('centroid_x centroid_y compactness mean_pairwise_distance mean_nn_distance')},
-{r('CASE WHEN n_spots < 3 THEN 0 ELSE area END', 'hull_area')}
+{r('CASE WHEN n_spots < 3 THEN 0 ELSE area END', 'hull_area', 4)}
 FROM c JOIN k USING (sample_id, cluster) JOIN m USING (sample_id, cluster) JOIN n USING (sample_id, cluster)
 LEFT JOIN h USING (sample_id, cluster)""",
     "obs",
 )
 def _(spark, sf):
     obs = stable(fx.sparse_obs(spark, sf))
-    return rounded(domains.domain_table(obs, obs.select("sample_id", "obs_id", "cluster")))
+    table = domains.domain_table(obs, obs.select("sample_id", "obs_id", "cluster"))
+    # Coordinates have a few decimals, so the exact area often ends in a 5 at the seventh place.
+    return rounded(table.withColumn("hull_area", F.round("hull_area", 4)))
+
+
+@query("e6_leiden")
+def _(spark, sf):
+    obs = stable(fx.sparse_obs(spark, sf))
+    return communities.leiden(stable(neighbours.spatial_graph(obs)), obs)
+
+
+@query("e7_louvain")
+def _(spark, sf):
+    obs = stable(fx.sparse_obs(spark, sf))
+    return communities.louvain(stable(neighbours.spatial_graph(obs)), obs)
+
+
+@query(
+    "e6_partition_quality",
+    f"""WITH u AS (SELECT sample_id, src, dst, count(*)::DOUBLE AS w FROM (SELECT sample_id, src, dst FROM neighbours
+  UNION ALL SELECT sample_id, dst, src FROM neighbours) GROUP BY 1, 2, 3),
+k AS (SELECT sample_id, src AS obs_id, sum(w) AS k FROM u GROUP BY 1, 2),
+m AS (SELECT sample_id, sum(k) AS m FROM k GROUP BY 1),
+i AS (SELECT u.sample_id, sum(w) AS w FROM u JOIN obs a ON a.obs_id = src JOIN obs b ON b.obs_id = dst
+  WHERE a.cluster = b.cluster GROUP BY 1),
+s AS (SELECT sample_id, sum(t * t) AS s FROM (SELECT sample_id, cluster, sum(k) AS t FROM k JOIN obs USING (sample_id, obs_id)
+  GROUP BY 1, 2) GROUP BY 1)
+SELECT sample_id, {r('w / m - s / (m * m)', 'quality')} FROM m JOIN i USING (sample_id) JOIN s USING (sample_id)""",
+    "obs neighbours",
+)
+def _(spark, sf):
+    obs = stable(fx.sparse_obs(spark, sf))
+    edges = neighbours.spatial_graph(obs)
+    return rounded(communities.partition_quality(edges, obs.select("sample_id", "obs_id", "cluster")))

@@ -69,9 +69,9 @@ p AS (SELECT a.sample_id, a.obs_id AS src, b.obs_id AS dst,
   1.0::DOUBLE / (sqrt((a.px - b.px) * (a.px - b.px) + (a.py - b.py) * (a.py - b.py)) + 1e-10) AS u
   FROM obs a JOIN obs b ON a.sample_id = b.sample_id AND a.obs_id <> b.obs_id),
 w AS (SELECT sample_id, src, dst, u / sum(u) OVER (PARTITION BY src) AS w FROM p),
-c AS (SELECT a.sample_id, a.var_id, sum(w * a.z * b.z) AS cross_sum
-  FROM w JOIN z a ON a.obs_id = w.src JOIN z b ON b.obs_id = w.dst AND b.var_id = a.var_id GROUP BY 1, 2),
-q AS (SELECT sample_id, var_id, sum(z * z) AS ss, max(abs(z)) AS top FROM z GROUP BY 1, 2)
+lag AS (SELECT src AS obs_id, var_id, sum(w * z) AS lag FROM w JOIN z ON z.obs_id = w.dst GROUP BY 1, 2),
+c AS (SELECT sample_id, var_id, sum(z * lag) AS cross_sum FROM z JOIN lag USING (obs_id, var_id) GROUP BY 1, 2),
+q AS (SELECT sample_id, var_id, sum(z * z) AS ss FROM z GROUP BY 1, 2)
 SELECT sample_id, var_id, {r('cross_sum / ss', 'i')} FROM c JOIN q USING (sample_id, var_id) WHERE ss > 1e-12""",
     "obs dense_log",
 )
