@@ -1,6 +1,6 @@
 """Named queries over the driver tables."""
 
-from . import graphs, markers, preprocessing, quality, spatial, statistics  # noqa: F401
+from . import chains, graphs, markers, preprocessing, quality, spatial, statistics  # noqa: F401
 from .core import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
