@@ -92,7 +92,9 @@ def hvg_seurat_v3(
             "*", F.when(usable, F.log10("mean")).alias("lm"), F.when(usable, F.log10("var_samp")).alias("lv")
         )
     )
-    fitted = genes.where(usable).withColumn("fit", _local_fit(genes.where(usable), span)(F.col("lm")))
+    fit = _local_fit(genes.where(usable), span)
+    spread = counts.sparkSession.sparkContext.defaultParallelism
+    fitted = genes.where(usable).repartition(spread, "var_id").withColumn("fit", fit(F.col("lm")))
     std = F.sqrt(F.pow(F.lit(10.0), F.col("fit")))
     limits = stable(
         fitted.select(
@@ -123,18 +125,25 @@ def local_quadratic(x: np.ndarray, xs: np.ndarray, ys: np.ndarray, span: float)
     """Degree-2 local regression with tricube weights over the nearest ``span`` share of sorted ``xs``."""
     n = len(xs)
     q = min(n, max(int(np.floor(span * n + 1e-9)), 3))
-    out = np.empty(len(x))
-    for at, v in enumerate(x):
+    points, back = np.unique(x, return_inverse=True)
+    out = np.empty(len(points))
+    for at, v in enumerate(points):
         lo = max(0, min(int(np.searchsorted(xs, v)) - q, n - q))
+        # The window slides right while its left end is further from v than the next point on the right.
         while lo + q < n and v - xs[lo] > xs[lo + q] - v:
             lo += 1
-        wx, wy = xs[lo : lo + q] - v, ys[lo : lo + q]
-        h = np.abs(wx).max()
-        w = (1.0 - np.minimum(np.abs(wx) / h, 1.0) ** 3) ** 3 if h > 0 else np.ones(q)
-        root = np.sqrt(w)[:, None]
-        basis = np.stack([np.ones(q), wx, wx * wx], axis=1)
-        out[at] = np.linalg.lstsq(basis * root, wy * root[:, 0], rcond=None)[0][0]
-    return out
+        u, y = xs[lo : lo + q] - v, ys[lo : lo + q]
+        h = np.abs(u).max()
+        if h == 0:
+            out[at] = y.mean()
+            continue
+        u = u / h
+        w = (1.0 - np.abs(u) ** 3) ** 3
+        wu, wuu = w * u, w * u * u
+        s0, s1, s2, s3, s4 = w.sum(), wu.sum(), wuu.sum(), wuu @ u, wuu @ (u * u)
+        normal = np.array([[s0, s1, s2], [s1, s2, s3], [s2, s3, s4]])
+        out[at] = (np.linalg.pinv(normal, hermitian=True) @ np.array([w @ y, wu @ y, wuu @ y]))[0]
+    return out[back]
 
 
 def _local_fit(genes: DataFrame, span: float):
