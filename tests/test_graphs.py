@@ -82,9 +82,11 @@ def planted(spark, n=240, groups=4, inside=0.25, outside=0.01):
     return spark.createDataFrame(rows, "sample_id string, src long, dst long, weight double"), obs, label
 
 
-def test_leiden_finds_planted_groups(spark):
+@pytest.mark.parametrize("method, links", [("leiden", 500_000), ("louvain", 500_000), ("louvain", 0)])
+def test_planted_groups_are_found(spark, method, links):
     edges, obs, label = planted(spark)
-    found = communities.leiden(edges, obs, resolution=1.0).toPandas().sort_values("obs_id")
+    found = getattr(communities, method)(edges, obs, resolution=1.0, task_links=links)
+    found = found.toPandas().sort_values("obs_id")
     # The last spot has no edge and stays alone.
     assert found.cluster.nunique() == 5 and (found.cluster == found.cluster.iloc[-1]).sum() == 1
     table = pd.crosstab(found.cluster.iloc[:-1], label)
@@ -97,6 +99,22 @@ def test_leiden_finds_planted_groups(spark):
     assert got.quality >= want - 0.002
 
 
+def test_refined_rounds_give_connected_parts(spark):
+    edges, obs, label = planted(spark, n=80, groups=2)
+    links = communities.undirected(edges).toPandas()
+    found = communities.leiden(edges, obs, resolution=1.0, n_iterations=1, task_links=0).toPandas()
+    group = dict(zip(found.obs_id, found.cluster))
+    inner = links[links.src.map(group) == links.dst.map(group)]
+    for name, members in found.groupby("cluster").obs_id:
+        seen, todo = set(), [members.iloc[0]]
+        while todo:
+            at = todo.pop()
+            if at not in seen:
+                seen.add(at)
+                todo += inner.dst[inner.src == at].tolist()
+        assert seen == set(members)
+
+
 def test_connected_splits_a_broken_community(spark):
     nodes = spark.createDataFrame([("s", i, 0) for i in range(6)], "sample_id string, node long, comm long")
     chain = [(0, 1), (1, 2), (3, 4), (4, 5)]
