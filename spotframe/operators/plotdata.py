@@ -59,7 +59,7 @@ def histogram_labels(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Quartiles and whiskers (furthest points within 1.5 IQR) of each column and group."""
     keys = [*by, "metric"]
-    long = unpivot(df, list(by), list(columns))
+    long = stable(unpivot(df, list(by), list(columns)))
     boxes = exact_quantiles(long, keys, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     v = F.col("value")

@@ -139,7 +139,8 @@ def metric_summary(
     """Mean, median, sample std, min, max and quartiles of each metric."""
     columns = list(columns or summary_metrics(metrics.columns))
     keys = [*by, "metric"]
-    long = unpivot(metrics, list(by), columns)
+    # Read twice below; written once, so that the metrics themselves are computed once.
+    long = stable(unpivot(metrics, list(by), columns))
     moments = long.groupBy(*keys).agg(
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
@@ -170,6 +171,8 @@ def mad_outliers(
 ) -> DataFrame:
     """``outlier_<metric>`` flags: strictly outside the MAD limits, upper side only for ``high_only``."""
     by = list(by)
+    # One row per spot, read three times below.
+    metrics = stable(metrics)
     bounds = mad_bounds(metrics, columns, n_mads, by)
     wide = bounds.groupBy(*by).agg(
         *[F.max(F.when(F.col("metric") == c, F.col(e))).alias(f"_{c}_{e}") for c in columns for e in ("lower", "upper")]
