@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import SPOT, exact_quantiles, ratio
+from ..functions.numeric import SPOT, exact_quantiles
 from ..functions.storage import stable
 from .qc import spot_totals
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..dataset import SpatialDataset
+from ..functions.numeric import ordered_value_counts
 from ..functions.storage import stable
 from .names import unique_names
 
@@ -29,14 +30,13 @@ def _sample(folder: str) -> Column:
 
 def _numbered(spark: SparkSession, path: str, folder: str, schema: str) -> DataFrame:
     """Rows of tab-separated files with their 1-based line number within the sample's file."""
-    rows = spark.read.csv(path, sep="\t", schema=schema).select(
-        "*",
-        _sample(folder).alias("sample_id"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_at"),
-    )
-    order = Window.partitionBy("sample_id").orderBy("_start", "_at")
-    return stable(rows.withColumn("line", F.row_number().over(order).cast("long")).drop("_start", "_at"))
+    rows = spark.read.csv(path, sep="\t", schema=schema)
+    columns = rows.columns
+    # Position in the file: blocks in order, lines in order within a block.
+    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("at"))
+    rows = rows.select("*", _sample(folder).alias("sample_id"), at.alias("_key"))
+    placed = ordered_value_counts(rows, ["sample_id"], "_key", [F.first(c).alias(c) for c in columns])
+    return stable(placed.select("sample_id", (F.col("n_below") + 1).alias("line"), *columns))
 
 
 def read_visium(
