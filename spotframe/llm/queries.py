@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination
+from . import bpe, decontamination, exact_dedup, licences, line_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,3 +83,89 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(named, 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+@query(
+    "op7_exact_dedup",
+    """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256
+FROM d JOIN g USING (t)""",
+)
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    found = exact_dedup.exact_groups(docs.withColumn("text_sha256", digest), carry=("text_sha256",))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query(
+    "op8_line_dedup",
+    r"""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, i, array_to_string(l[i:i + 2], chr(10)) AS t
+  FROM (SELECT doc_id, l, unnest(generate_series(1, greatest(len(l) - 2, 1))) AS i FROM d)),
+n AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS k FROM w WHERE regexp_matches(t, '[^ \t\r\n]')),
+c AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 2)) AS j FROM n WHERE k > 1),
+k AS (SELECT doc_id, count(*) AS n_kept, string_agg(x, chr(10) ORDER BY j) AS t
+  FROM (SELECT doc_id, unnest(l) AS x, unnest(generate_series(1, len(l))) AS j FROM d) ANTI JOIN c USING (doc_id, j) GROUP BY 1)
+SELECT doc_id, coalesce(len(l), 0) AS n_lines, coalesce(len(l), 0) - coalesce(n_kept, 0) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM (SELECT doc_id FROM documents) LEFT JOIN d USING (doc_id) LEFT JOIN k USING (doc_id)""",
+)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.size("lines").cast("long").alias("n_lines"),
+        F.size("removed").cast("long").alias("n_removed"),
+        F.sha2(line_dedup.kept_text(), 256).alias("kept_sha256"),
+    )
+
+
+def licence_sql() -> str:
+    """The scan with its statements as literal rows."""
+    statements = [(s, s.postings()) for s in licences.STATEMENTS]
+    rows = ", ".join(
+        f"('{s.label}', {s.base}, '{w}', {i}, {key})" for s, postings in statements for w, i, key in postings
+    )
+    return rf"""WITH p(label, base, w, place, key) AS (VALUES {rows}),
+d AS (SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS ws FROM documents),
+h AS (SELECT doc_id, i, w FROM (SELECT doc_id, unnest(ws) AS w, unnest(generate_series(0, len(ws) - 1)) AS i FROM d)
+  WHERE w IN (SELECT w FROM p)),
+idf AS (SELECT w, ln((1 + (SELECT count(*) FROM documents)) / (1 + coalesce(n, 0))::DOUBLE) + 1 AS weight
+  FROM (SELECT DISTINCT w FROM p) LEFT JOIN (SELECT w, count(DISTINCT doc_id) AS n FROM h GROUP BY 1) USING (w)),
+whole AS (SELECT label, sum(weight) AS total, count(*) FILTER (WHERE key) AS n_key FROM p JOIN idf USING (w) GROUP BY 1),
+m AS (SELECT doc_id, label, base, i - place AS start, sum(weight) AS weight, count(*) FILTER (WHERE key) AS n
+  FROM h JOIN p USING (w) JOIN idf USING (w) GROUP BY ALL),
+f AS (SELECT *, least(round(weight / total, 6), 1.0) AS share FROM m JOIN whole USING (label)
+  WHERE n = n_key AND least(round(weight / total, 6), 1.0) >= {licences.LEAST_SHARE}),
+g AS (SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word,
+    max(start) FILTER (WHERE base) AS last_word,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE base)), ',') AS base_labels,
+    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(share) AS score
+  FROM f GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN g USING (doc_id)"""
+
+
+@query("op10_licences", licence_sql())
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("matches", lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["start"])
+
+    def names(matches):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        names(base).alias("base_labels"),
+        names("matches").alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["share"])), F.lit(0.0)).alias("score"),
+    )
