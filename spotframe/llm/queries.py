@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact_dedup, licences, line_dedup
+from . import bpe, decontamination, exact_dedup, licences, line_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -169,3 +169,21 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
         names("matches").alias("labels"),
         F.coalesce(F.array_max(F.transform("matches", lambda m: m["share"])), F.lit(0.0)).alias("score"),
     )
+
+
+@query(
+    "op2_substring_dedup",
+    r"""WITH d AS (SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w
+  FROM documents),
+n AS (SELECT doc_id, i, count(*) OVER (PARTITION BY array_to_string(w[i:i + 34], ' ')) AS n
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+c AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS j FROM n WHERE n > 1),
+k AS (SELECT doc_id, count(*) AS n_kept, string_agg(x, ' ' ORDER BY j) AS t
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS j FROM d) ANTI JOIN c USING (doc_id, j) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""",
+)
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
