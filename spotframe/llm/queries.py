@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact_dedup, licences, line_dedup, substring_dedup
+from . import bpe, decontamination, exact_dedup, licences, line_dedup, minhash, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -187,3 +187,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_minhash")
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
