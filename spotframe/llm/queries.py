@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact_dedup, html, licences, line_dedup, minhash, substring_dedup
+from . import bpe, decontamination, exact_dedup, html, licences, line_dedup, minhash, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -198,3 +198,15 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
