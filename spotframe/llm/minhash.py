@@ -219,3 +219,9 @@ def near_duplicates(
         "component_id",
         F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The smallest id of every group and all rows without a link, all columns as they were. Rows that share a kept id stay."""
+    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("_kept"))
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")

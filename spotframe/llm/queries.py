@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact_dedup, html, licences, line_dedup, minhash, substring_dedup, toxicity
+from . import bpe, decontamination, exact_dedup, html, licences, line_dedup, minhash, substring_dedup, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,11 +33,12 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
-def token_digests(encoded: DataFrame) -> DataFrame:
+def token_digests(encoded: DataFrame, *extra: str) -> DataFrame:
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
+        *extra,
         F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
@@ -203,10 +204,30 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), keep_text=False)
     return found.select(
         "doc_id",
         toxicity.held_out().alias("held_out"),
         "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query(
+    "op5_warc",
+    """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+f AS (SELECT b, min(page_id) AS k FROM p WHERE octet_length(b) >= 100 GROUP BY b)
+SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest,
+  CASE WHEN k <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN k <> page_id THEN k END AS refers_to
+FROM p LEFT JOIN f USING (b)""",
+)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, folder).select(
+        F.col("id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )

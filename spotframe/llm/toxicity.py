@@ -201,9 +201,11 @@ def fit(
     return train(table.column("_text").to_pylist(), table.column("_label").to_pylist())
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """Every row with ``score``, 0 to 1, higher for texts that are likelier toxic; all other columns stay.
 
+    Without ``keep_text`` the text column goes, so that texts need not come back from the Python workers.
+
     A null text counts as empty and has the score of the bias alone; rows are independent of each other; an empty
     table gives no rows; a column called ``score`` is replaced.
     """
@@ -215,11 +217,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         bags = Bags(shared.value)
         for batch in steps(batches, limit=STEP_BYTES):
             found = score_texts(pc.fill_null(batch.column("_text"), "").to_pylist(), bags)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(found)], [*names, "score"])
 
-    out = rows.withColumn("score", F.lit(0.0))
-    found = rows.mapInArrow(work, out.schema)
-    kept = [c for c in docs.columns if c != "score"]
+    names = ["_text", "_rest"] if keep_text else ["_rest"]
+    found = rows.mapInArrow(work, rows.select(*names, F.lit(0.0).alias("score")).schema)
+    kept = [c for c in docs.columns if c != "score" and (keep_text or c != text_col)]
     return found.select(*[F.col("_text").alias(c) if c == text_col else F.col("_rest")[c].alias(c) for c in kept], "score")
 
 
