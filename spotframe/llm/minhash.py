@@ -150,6 +150,13 @@ def near_duplicates(
     A null text has no words; a null id is never the smallest unless all are null; rows that repeat an id and a text
     share their result; an empty table gives no rows; other columns are ignored.
     """
+    return _grouped(docs, id_col, text_col, shingle, percent, bands, rows).select(
+        F.col("_id").alias(id_col), "n_shingles", "component_id", "kept"
+    )
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """Rows (_id, _key, n_shingles, component_id, kept); _key is a hash of the text."""
     table = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_key"), F.col(text_col).cast("string").alias("_text"))
     kind = table.schema["_id"].dataType.simpleString()
     schema = f"_id {kind}, _key long, n long, node binary, bands array<long>"
@@ -208,20 +215,27 @@ def near_duplicates(
             break
         part *= 8
 
-    roots = sketch.join(found, "node", "left").select("_id", "n", F.coalesce("root", "node").alias("root"))
+    roots = sketch.join(found, "node", "left").select("_id", "_key", "n", F.coalesce("root", "node").alias("root"))
     roots = stable(roots)
     smallest = roots.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("_id").alias("component_id"))
     many = roots.where(F.col("root").isNotNull()).join(smallest, "root")
     empty = roots.where(F.col("root").isNull()).withColumn("component_id", F.col("_id"))
     return many.unionByName(empty.select(*many.columns)).select(
-        F.col("_id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        "component_id",
-        F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "_id", "_key", F.col("n").alias("n_shingles"), "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
-def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The smallest id of every group and all rows without a link, all columns as they were. Rows that share a kept id stay."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("_kept"))
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+def without_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    percent: int = PERCENT,
+    bands: int = BANDS,
+    rows: int = ROWS,
+) -> DataFrame:
+    """The smallest id of every group and all rows without a link, all columns as they were."""
+    kept = _grouped(docs, id_col, text_col, shingle, percent, bands, rows).where("kept")
+    kept = kept.select(F.col("_id").alias("_kept"), F.col("_key").alias("_kept_key"))
+    same = F.col(id_col).eqNullSafe(F.col("_kept")) & (F.xxhash64(F.col(text_col)) == F.col("_kept_key"))
+    return docs.join(kept, same, "left_semi")
