@@ -69,7 +69,7 @@ WORD = re.compile(r"[a-z]+")
 
 
 class Line:
-    """Text of one block; links count for nothing in its length."""
+    """Text of one block."""
 
     __slots__ = ("parts", "linked", "side", "main", "text")
 
@@ -77,6 +77,11 @@ class Line:
         self.parts: list[str] = []
         self.linked, self.side, self.main, self.text = 0, side, main, ""
 
+    def length(self) -> int:
+        """Characters outside links, white space aside; none if most of the text is links."""
+        whole = len(self.text.replace(" ", ""))
+        return whole - self.linked if 2 * self.linked < whole else 0
+
 
 def _words_of(attributes: str) -> set[str]:
     found: set[str] = set()
@@ -101,7 +106,7 @@ def lines_of(page: str) -> list[Line]:
         piece = html.unescape(piece) if "&" in piece else piece
         line.parts.append(piece)
         if links:
-            line.linked += len(piece.strip())
+            line.linked += len("".join(piece.split()))
 
     def state() -> tuple[bool, bool]:
         return (stack[-1][1], stack[-1][2]) if stack else (False, False)
@@ -181,24 +186,18 @@ def lines_of(page: str) -> list[Line]:
 def main_text(page: str) -> str:
     """The article's blocks, one per line."""
     lines = lines_of(page)
-    if any(one.main and not one.side for one in lines):
-        lines = [one if one.main else _aside(one) for one in lines]
-        surge = 1
-    else:
-        surge = SURGE
-    lengths = np.array([0 if one.side else max(0, len(one.text) - one.linked) for one in lines], dtype=np.int64)
+    marked = any(one.main and not one.side for one in lines)
+    if marked:
+        for one in lines:
+            one.side |= not one.main
+    lengths = np.array([0 if one.side else one.length() for one in lines], dtype=np.int64)
     if not lengths.any():
         return ""
     # A page whose text never surges is short: any text is its main text.
-    keep = _between(lengths, min(surge, int(lengths.max())))
+    keep = _between(lengths, 1 if marked else min(SURGE, int(lengths.max())))
     return "\n".join(one.text for one, kept in zip(lines, keep, strict=True) if kept and not one.side)
 
 
-def _aside(line: Line) -> Line:
-    line.side = True
-    return line
-
-
 def _between(lengths: np.ndarray, surge: int) -> np.ndarray:
     """Lines from each surge (a window that reaches ``surge``) to the dive (a window without text) after it."""
     n = len(lengths)
