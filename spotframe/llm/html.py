@@ -190,7 +190,8 @@ def main_text(page: str) -> str:
     if marked:
         for one in lines:
             one.side |= not one.main
-    lengths = np.array([0 if one.side else one.length() for one in lines], dtype=np.int64)
+    # Inside the article, links are text as well.
+    lengths = np.array([0 if one.side else len(one.text) if marked else one.length() for one in lines], dtype=np.int64)
     if not lengths.any():
         return ""
     # A page whose text never surges is short: any text is its main text.

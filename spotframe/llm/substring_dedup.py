@@ -31,6 +31,7 @@ BUCKET_WORDS = 2_500_000
 # Slots of minimisers whose size is measured first, per bucket; those above a share of a bucket are heavy.
 SLOTS_PER_BUCKET = 64
 HEAVY_SHARE = 0.125
+SLOTS_HELD = 1 << 20
 
 LEVEL = 3
 
@@ -159,14 +160,24 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _sizes(batches: Iterable[pa.RecordBatch], slots: int, window: int, piece: int) -> Iterator[pa.RecordBatch]:
-    """Words of the distinct strings per slot of minimisers, added up per step."""
+    """Words of the distinct strings per slot of minimisers, added up per task."""
     hashes = WordHashes()
+    slots_seen, words_seen = np.empty(0, dtype=np.uint64), np.empty(0)
     for batch in steps(batches, limit=STEP):
         step = Step(raw_texts(batch), hashes, window, piece)
         _, stands, _ = step.distinct()
-        slot, where = np.unique(step.minimiser[stands] % np.uint64(slots), return_inverse=True)
-        words = np.bincount(where, step.number[stands] + window - 1, minlength=len(slot)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array(words)], ["slot", "words"])
+        slot = np.concatenate([slots_seen, step.minimiser[stands] % np.uint64(slots)])
+        words = np.concatenate([words_seen, step.number[stands] + window - 1])
+        slots_seen, where = np.unique(slot, return_inverse=True)
+        words_seen = np.bincount(where, words, minlength=len(slots_seen))
+        if len(slots_seen) > SLOTS_HELD:
+            yield _slot_rows(slots_seen, words_seen)
+            slots_seen, words_seen = slots_seen[:0], words_seen[:0]
+    yield _slot_rows(slots_seen, words_seen)
+
+
+def _slot_rows(slots: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), pa.array(words.astype(np.int64))], ["slot", "words"])
 
 
 def _count(rows: pa.Table, window: int) -> pa.Table:
