@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .dataset import SpatialDataset
+from .functions.numeric import ordered_value_counts
+from .sources.names import unique_names
+from .sources.visium import SCALE_FIELDS
 
 PANEL_TISSUE = "fixture"
 
@@ -63,11 +66,17 @@ def sparse_var(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def named_var(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genes whose names repeat, with their unique names, as a sample reader returns them."""
+    var = sparse_var(spark, sf_dir).select("var_id", F.col("gene_dup").alias("gene"), "brand")
+    return unique_names(var)
+
+
 def sparse_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One panel per brand with all its genes plus one that does not exist, and a panel with none at all."""
-    var = sparse_var(spark, sf_dir)
+    """One panel per brand with the unique names of all its genes plus one that does not exist, and a panel with none at all."""
+    var = named_var(spark, sf_dir)
     tissue = F.lit(PANEL_TISSUE).alias("tissue")
-    present = var.select(tissue, F.col("brand").alias("panel"), F.col("var_id").alias("ord"), "gene")
+    present = var.select(tissue, F.col("brand").alias("panel"), F.col("var_id").alias("ord"), F.col("gene_unique").alias("gene"))
     missing = var.select(tissue, F.col("brand").alias("panel")).distinct().select(
         "tissue", "panel", F.lit(0).cast("long").alias("ord"), F.concat(F.lit("MISSING_"), "panel").alias("gene")
     )
@@ -111,3 +120,53 @@ def metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("obs_id"), F.col("event_type").alias("cluster"), F.col("value").alias("x")
     )
+
+
+def write_samples(data: SpatialDataset, path: str) -> None:
+    """Sample folders in the usual layout: matrix, features, barcodes and positions, one file each."""
+    spark = data.obs.sparkSession
+    genes = data.var.orderBy("var_id").select("var_id", "gene")
+    n_genes = genes.count()
+    features = genes.select(
+        F.col("var_id").alias("ord"), F.concat_ws("\t", F.concat(F.lit("G"), "var_id"), "gene", F.lit("Gene Expression")).alias("value")
+    )
+    line_of_gene = _lines(genes, "var_id")
+    for row in data.obs.select("sample_id").distinct().orderBy("sample_id").collect():
+        sample = row["sample_id"]
+        folder, of = f"{path}/{sample}", F.col("sample_id") == sample
+        spots = data.obs.where(of)
+        line_of_spot = _lines(spots, "obs_id")
+        cells = data.counts.where(of).join(line_of_gene, "var_id").join(line_of_spot, "obs_id")
+        size = f"{n_genes} {spots.count()} {cells.count()}"
+        head = spark.createDataFrame([(-2, "%%MatrixMarket matrix coordinate real general"), (-1, size)], "ord long, value string")
+        triplets = cells.select(F.lit(0).cast("long").alias("ord"), F.concat_ws(" ", "line_var_id", "line_obs_id", "x").alias("value"))
+        barcodes = spots.select(F.col("obs_id").alias("ord"), F.concat(F.lit("B"), "obs_id").alias("value"))
+        places = spots.select(
+            F.col("obs_id").alias("ord"),
+            F.concat_ws(",", F.concat(F.lit("B"), "obs_id"), F.col("in_tissue").cast("int"), "array_row", "array_col", "py", "px").alias("value"),
+        )
+        _one_file(head.unionByName(triplets), f"{folder}/filtered_feature_bc_matrix", "matrix.mtx")
+        _one_file(features, f"{folder}/filtered_feature_bc_matrix", "features.tsv")
+        _one_file(barcodes, f"{folder}/filtered_feature_bc_matrix", "barcodes.tsv")
+        _one_file(places, f"{folder}/spatial", "tissue_positions_list.csv")
+        factors = ", ".join(f'"{name}": 1.0' for name in SCALE_FIELDS)
+        _one_file(head.limit(1).select("ord", F.lit(f"{{{factors}}}").alias("value")), f"{folder}/spatial", "scalefactors_json.json")
+
+
+def _lines(rows: DataFrame, key: str) -> DataFrame:
+    """Line, from 1, of every key in ascending order."""
+    return ordered_value_counts(rows.withColumn("_all", F.lit(0)), ["_all"], key).select(
+        key, (F.col("n_below") + 1).alias(f"line_{key}")
+    )
+
+
+def _one_file(rows: DataFrame, folder: str, name: str) -> None:
+    """The format is one file per sample and table, so a single task writes it."""
+    spark = rows.sparkSession
+    rows.orderBy("ord").select("value").coalesce(1).write.text(f"{folder}/_{name}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source = hadoop.Path(f"{folder}/_{name}")
+    fs = source.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    part = next(f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-"))
+    fs.rename(part, hadoop.Path(f"{folder}/{name}"))
+    fs.delete(source, True)

@@ -76,14 +76,10 @@ def count_within(points: DataFrame, radius: DataFrame, block: int = BLOCK) -> Da
 
 
 def radius_graph(points: DataFrame, radius: float) -> DataFrame:
-    """All ordered pairs of different spots of a sample within ``radius`` (inclusive)."""
-    placed = points.select(
-        *SPOT,
-        "px",
-        "py",
-        F.floor(F.col("px") / F.lit(radius * SLACK)).alias("gx"),
-        F.floor(F.col("py") / F.lit(radius * SLACK)).alias("gy"),
-    )
+    """All ordered pairs of different spots of a sample within ``radius`` (inclusive); radius 0 leaves spots at one place."""
+    # Any side will do for radius 0, as equal places share a cell.
+    side = F.lit(radius * SLACK or 1.0)
+    placed = points.select(*SPOT, "px", "py", F.floor(F.col("px") / side).alias("gx"), F.floor(F.col("py") / side).alias("gy"))
     a = _around(placed).select("sample_id", "gx", "gy", F.col("obs_id").alias("src"), F.col("px").alias("ax"), F.col("py").alias("ay"))
     b = placed.select("sample_id", "gx", "gy", F.col("obs_id").alias("dst"), F.col("px").alias("bx"), F.col("py").alias("by"))
     d = distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))

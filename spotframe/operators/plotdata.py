@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import SPOT, correlation, exact_quantiles, gene_stats, ratio, unpivot
 from ..functions.storage import stable
+from ..sources.names import lookup_name
 from .dense import dense_spots, gene_index
 
 BINS = 50
@@ -141,7 +142,7 @@ def gene_layer(
     obs: DataFrame, var: DataFrame, counts: DataFrame, gene: str, scale: float = 1.0, value: str = "x"
 ) -> DataFrame:
     """Spatial layer of one gene; spots without it show 0."""
-    ids = var.where(F.col("gene") == gene).select("var_id")
+    ids = var.where(lookup_name(var) == gene).select("var_id")
     cells = counts.join(ids, "var_id", "left_semi").select(*SPOT, F.col(value).alias("_v"))
     shown = obs.join(cells, SPOT, "left").withColumn("_value", F.coalesce("_v", F.lit(0.0)))
     return spatial_layer(shown, "_value", scale)

@@ -53,10 +53,15 @@ FROM part""",
   SELECT o_custkey AS obs_id, l_partkey AS var_id, sum(l_quantity)::DOUBLE AS x
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2) JOIN obs USING (obs_id)""",
     ),
-    "panels": (
+    "named": (
         "var",
-        """SELECT 'fixture' AS tissue, brand AS panel, var_id AS ord, gene FROM var
-UNION ALL SELECT DISTINCT 'fixture', brand, 0, 'MISSING_' || brand FROM var
+        """SELECT var_id, brand, CASE WHEN k = 1 THEN gene_dup ELSE gene_dup || '-' || (k - 1) END AS gene
+FROM (SELECT *, row_number() OVER (PARTITION BY gene_dup ORDER BY var_id) AS k FROM var)""",
+    ),
+    "panels": (
+        "named",
+        """SELECT 'fixture' AS tissue, brand AS panel, var_id AS ord, gene FROM named
+UNION ALL SELECT DISTINCT 'fixture', brand, 0, 'MISSING_' || brand FROM named
 UNION ALL SELECT 'fixture', 'absent', 0, 'MISSING_absent'""",
     ),
     "flags": (

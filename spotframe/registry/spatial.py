@@ -36,13 +36,15 @@ k AS (SELECT sample_id, count(*) AS n FROM obs GROUP BY 1), s0 AS (SELECT sample
 v AS (SELECT sample_id, (n * n * s1 - n * s2 + 3 * s0 * s0) / ((n * n - 1) * s0 * s0)
   - 1.0::DOUBLE / ((n - 1) * (n - 1)) AS var_norm FROM s0 JOIN s1 USING (sample_id) JOIN s2 USING (sample_id) JOIN k USING (sample_id))
 SELECT sample_id, var_id, {rs('i expected_i var_norm')}, {r('(i - expected_i) / sqrt(var_norm)', 'z_norm')}
-FROM moran JOIN v USING (sample_id)""",
-    "obs neighbours dense_log",
+FROM (SELECT sample_id, var_id, any_value(i) AS i, -1.0::DOUBLE / (max(n) - 1) AS expected_i
+  FROM (SELECT DISTINCT sample_id, var_id FROM counts) JOIN k USING (sample_id) LEFT JOIN (SELECT sample_id, var_id, i FROM moran)
+  USING (sample_id, var_id) GROUP BY 1, 2) JOIN v USING (sample_id)""",
+    "obs neighbours counts dense_log",
 )
 def _(spark, sf):
     d, logs = inputs(spark, sf)
     out = autocorrelation.moran(logs, d.obs, neighbours.spatial_graph(d.obs))
-    return rounded(out.select("sample_id", "var_id", "i", "expected_i", "var_norm", "z_norm").where("i IS NOT NULL"))
+    return rounded(out.select("sample_id", "var_id", "i", "expected_i", "var_norm", "z_norm"))
 
 
 @query("g1_moran_pvalues")
@@ -93,20 +95,20 @@ def _(spark, sf):
     return rounded(autocorrelation.top_autocorrelated(result).select("sample_id", "rank", "var_id", "i"))
 
 
-SCORES = """members AS (SELECT panel, var_id, count(*) OVER (PARTITION BY panel) AS k FROM panels JOIN var USING (gene)),
+SCORES = """members AS (SELECT panel, var_id, count(*) OVER (PARTITION BY panel) AS k FROM panels JOIN named USING (gene)),
 scores AS (SELECT sample_id, obs_id, panel, sum(x) / max(k) AS score FROM dense_log JOIN members USING (var_id) GROUP BY 1, 2, 3)"""
 
 
 def scored(spark, sf):
     d, logs = inputs(spark, sf)
     table = fx.sparse_panels(spark, sf)
-    return d, table, panels.panel_scores(logs, d.obs, d.var, table)
+    return d, table, panels.panel_scores(logs, d.obs, fx.named_var(spark, sf), table)
 
 
 @query(
     "g6_panel_scores",
     f"WITH {SCORES} SELECT sample_id, obs_id, panel, {rs('score')} FROM scores",
-    "var panels dense_log",
+    "named panels dense_log",
 )
 def _(spark, sf):
     return rounded(scored(spark, sf)[2])
@@ -117,14 +119,14 @@ def _(spark, sf):
     f"""WITH {SCORES}, f AS (SELECT panel, count(v.var_id) AS n_available, count(*) - count(v.var_id) AS n_missing,
   coalesce(string_agg(p.gene, ',' ORDER BY ord) FILTER (WHERE v.var_id IS NOT NULL), '') AS available,
   coalesce(string_agg(p.gene, ',' ORDER BY ord) FILTER (WHERE v.var_id IS NULL), '') AS missing
-  FROM panels p LEFT JOIN var v USING (gene) GROUP BY 1)
+  FROM panels p LEFT JOIN named v USING (gene) GROUP BY 1)
 SELECT s.*, f.* EXCLUDE (panel) FROM (SELECT sample_id, panel, {r('avg(score)', 'mean')}, {r('stddev_pop(score)', 'std')},
   {r('min(score)', 'min')}, {r('max(score)', 'max')} FROM scores GROUP BY 1, 2) s JOIN f USING (panel)""",
-    "var panels dense_log",
+    "named panels dense_log",
 )
 def _(spark, sf):
     d, table, scores = scored(spark, sf)
-    out = panels.panel_statistics(scores, panels.panel_genes_found(table, d.var))
+    out = panels.panel_statistics(scores, panels.panel_genes_found(table, fx.named_var(spark, sf)))
     names = {c: F.array_join(c, ",") for c in ("available", "missing")}
     return rounded(out.withColumns(names))
 
@@ -135,7 +137,7 @@ def _(spark, sf):
 {r('covar_pop(score, px) / nullif(stddev_pop(score) * stddev_pop(px), 0)', 'corr_x')},
 {r('covar_pop(score, py) / nullif(stddev_pop(score) * stddev_pop(py), 0)', 'corr_y')}
 FROM scores JOIN obs USING (sample_id, obs_id) GROUP BY 1, 2""",
-    "obs var panels dense_log",
+    "obs named panels dense_log",
 )
 def _(spark, sf):
     d, _, scores = scored(spark, sf)
@@ -151,22 +153,22 @@ def _(spark, sf):
     "g10_filter_panel",
     """WITH e AS (SELECT var_id, avg(x) AS m, count(*) FILTER (WHERE x > 0) AS k FROM dense_log GROUP BY 1)
 SELECT panel, ord, gene, coalesce(m >= 0.1 AND k >= 10, false) AS available
-FROM panels LEFT JOIN var USING (gene) LEFT JOIN e USING (var_id)""",
-    "var panels dense_log",
+FROM panels LEFT JOIN named USING (gene) LEFT JOIN e USING (var_id)""",
+    "named panels dense_log",
 )
 def _(spark, sf):
     d, logs = inputs(spark, sf)
-    return panels.filter_panel(logs, d.obs, d.var, fx.sparse_panels(spark, sf))
+    return panels.filter_panel(logs, d.obs, fx.named_var(spark, sf), fx.sparse_panels(spark, sf))
 
 
 @query(
     "g11_panel_availability",
     """SELECT panel, string_agg(gene, ',' ORDER BY ord) AS available, count(*) AS n_available
-FROM panels JOIN var USING (gene) GROUP BY 1""",
-    "var panels",
+FROM panels JOIN named USING (gene) GROUP BY 1""",
+    "named panels",
 )
 def _(spark, sf):
-    out = panels.panel_availability(fx.sparse_panels(spark, sf), fx.sparse_var(spark, sf))
+    out = panels.panel_availability(fx.sparse_panels(spark, sf), fx.named_var(spark, sf))
     return out.withColumn("available", F.array_join("available", ","))
 
 
@@ -175,7 +177,7 @@ def _(spark, sf):
     f"""WITH {SCORES} SELECT sample_id, a.panel AS panel_a, b.panel AS panel_b,
 {r('covar_pop(a.score, b.score) / nullif(stddev_pop(a.score) * stddev_pop(b.score), 0)', 'corr')}
 FROM scores a JOIN scores b USING (sample_id, obs_id) GROUP BY 1, 2, 3""",
-    "var panels dense_log",
+    "named panels dense_log",
 )
 def _(spark, sf):
     return rounded(plotdata.score_correlation(stable(scored(spark, sf)[2])))
@@ -216,19 +218,19 @@ def _(spark, sf):
 
 EXPRESSION = """e AS (SELECT panel, gene, avg(x) AS mean, max(x) AS max, 100.0 * avg((x <> 0)::INT) AS pct_nonzero,
   CASE WHEN avg(x) > 0 THEN stddev_pop(x) / avg(x) ELSE 0 END AS cv
-  FROM panels JOIN var USING (gene) JOIN dense_log USING (var_id) GROUP BY 1, 2)"""
+  FROM panels JOIN named USING (gene) JOIN dense_log USING (var_id) GROUP BY 1, 2)"""
 
 
 def expression(spark, sf):
     d, logs = inputs(spark, sf)
-    members = panels.panel_members(fx.sparse_panels(spark, sf), d.var).where("var_id IS NOT NULL")
+    members = panels.panel_members(fx.sparse_panels(spark, sf), fx.named_var(spark, sf)).where("var_id IS NOT NULL")
     return stats.expression_stats(logs, d.obs, members.select("panel", "gene", "var_id"))
 
 
 @query(
     "h7_expression_stats",
     f"WITH {EXPRESSION} SELECT panel, gene, {rs('mean max pct_nonzero cv')} FROM e",
-    "var panels dense_log",
+    "named panels dense_log",
 )
 def _(spark, sf):
     return rounded(expression(spark, sf))
@@ -237,7 +239,7 @@ def _(spark, sf):
 @query(
     "h7_top_variable",
     f"WITH {EXPRESSION} SELECT panel, gene, {rs('mean max pct_nonzero cv')} FROM e ORDER BY round(e.cv, 9) DESC, gene, panel LIMIT 6",
-    "var panels dense_log",
+    "named panels dense_log",
 )
 def _(spark, sf):
     out = expression(spark, sf)

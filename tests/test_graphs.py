@@ -163,3 +163,17 @@ def test_pairwise_means_do_not_depend_on_blocks(spots):
     for block in (7, 2048):
         got = domains.pairwise_means(obs, ["sample_id"], block=block).first()
         assert got.mean_pairwise_distance == pytest.approx(np.mean(d))
+
+
+def test_points_on_a_line_have_no_hull():
+    for points in ([(0.1, 0.3), (0.2, 0.6), (0.7, 2.1), (0.3, 0.9)], [(k * 0.1, k * 0.7 + 3) for k in range(50)], [(5e6 + k / 3, 7e6 + k / 7) for k in range(30)]):
+        x, y = np.array(points).T
+        assert len(domains.convex_hull(x, y)) == 2
+    x, y = np.array([(0, 0), (1, 0), (1, 1), (0, 1), (0.5, 0), (0.5, 0.5)]).T
+    assert domains.hull_area(domains.convex_hull(x, y)) == 1.0
+
+
+def test_radius_zero_links_equal_places(spots):
+    points = spots([("s", 1, 2, 3), ("s", 2, 2, 3), ("s", 3, 2, 4)])
+    found = neighbours.radius_graph(points, 0.0).select("src", "dst").collect()
+    assert sorted(map(tuple, found)) == [(1, 2), (2, 1)]

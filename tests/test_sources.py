@@ -8,8 +8,9 @@ import pytest
 
 from spotframe import SpatialDataset
 from spotframe.plans import report, standard
-from spotframe.operators import plotdata
+from spotframe.operators import panels, plotdata
 from spotframe.sources import storage, visium
+from spotframe.sources.names import unique_names
 
 
 def png(path, width, height):
@@ -128,3 +129,32 @@ def test_expression_graph_chain(spark, cells, spots, genes):
     ready = standard.preprocess(small(cells, spots, genes), hvg_method="cell_ranger", n_top_genes=6, n_pcs=3, scale=False)
     done = standard.spatial_analysis(ready, n_neighbors=3, graph="expression", cluster_method="louvain", marker_method="t-test")
     assert done.extras["clusters"].count() == 21 and done.extras["moran"].count() > 0
+
+
+def test_panels_find_genes_by_unique_names(spark, cells, spots):
+    var = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a-1"), (4, "b-99999999999999999999")], "var_id long, gene string")
+    named = unique_names(var)
+    assert {r.var_id: r.gene_unique for r in named.collect()} == {1: "a", 2: "a-2", 3: "a-1", 4: "b-99999999999999999999"}
+    counts = cells([("s", 1, 1, 4.0), ("s", 1, 2, 2.0)])
+    obs = spots([("s", 1, 0, 0), ("s", 2, 1, 0)])
+    panel = spark.createDataFrame([("p", 1, "a"), ("q", 1, "a-2"), ("q", 2, "c")], "panel string, ord long, gene string")
+    scores = {(r.obs_id, r.panel): r.score for r in panels.panel_scores(counts, obs, named, panel).collect()}
+    assert scores == {(1, "p"): 4.0, (2, "p"): 0.0, (1, "q"): 2.0, (2, "q"): 0.0}
+    found = {r.panel: (r.available, r.missing) for r in panels.panel_genes_found(panel, named).collect()}
+    assert found == {"p": (["a"], []), "q": (["a-2"], ["c"])}
+    layer = plotdata.gene_layer(obs, named, counts, "a").orderBy("obs_id").collect()
+    assert [(r.obs_id, r.value) for r in layer] == [(1, 4.0), (2, 0.0)]
+
+
+def test_intermediates_are_shared_and_can_go(spark):
+    import os
+
+    from spotframe.functions.storage import release, shared_dir, stable
+
+    table = stable(spark.range(5))
+    path = table._written
+    assert path.startswith(shared_dir(spark)) and table.count() == 5
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    release(table)
+    assert not os.path.isdir(local)
