@@ -23,7 +23,7 @@ WINDOW = 35
 PIECE = 4
 
 # Text bytes whose super-k-mers a task packs together.
-STEP = 8 << 20
+STEP = 5 << 20
 
 # Words that a bucket should get, so that a task can hold it.
 BUCKET_WORDS = 2_500_000
