@@ -161,6 +161,30 @@ def with_tables(names: str, sql: str) -> str:
     return f"WITH {ctes}{joiner}"
 
 
+def normal_tail(z: str) -> str:
+    """P(|Z| >= |z|) in SQL, by the positive series of the error function; below rounding beyond 7."""
+    return f"""CASE WHEN {z} = 0 THEN 1.0::DOUBLE WHEN abs({z}) > 7 THEN 0.0 WHEN {z} IS NOT NULL THEN
+  1 - 2 / sqrt(pi()) * list_sum([exp(-{z} * {z} / 2 + 2 * k * ln(2.0) + (2 * k + 1) * ln(abs({z}) / sqrt(2.0))
+    + lgamma(k + 1) - lgamma(2 * k + 2)) FOR k IN range(150)]) END"""
+
+
+def student_tail(t: str, df: str) -> str:
+    """P(|T| >= |t|) in SQL, by the positive series of the incomplete beta function; 1 where t is undefined."""
+    y, a = f"({t} * {t} / ({df} + {t} * {t}))", f"({df} / 2)"
+    return f"""CASE WHEN {t} = 0 OR {t} IS NULL OR {df} IS NULL THEN 1.0::DOUBLE WHEN abs({t}) > 9 THEN 0.0 ELSE
+  1 - list_sum([exp(0.5 * ln{y} + {a} * ln(1 - {y}) + ln(2.0) - lgamma(0.5) - lgamma{a} + lgamma(0.5 + {a} + k)
+    - lgamma(1.5 + k) + lgamma(1.5) + k * ln{y}) FOR k IN range(400)]) END"""
+
+
+def adjusted(p: str, by: str) -> str:
+    """Benjamini-Hochberg in SQL over a table with (by, raw), where raw is p times the number of tests over its rank."""
+    return f"least(min(raw) OVER (PARTITION BY {by} ORDER BY {p} NULLS LAST, var_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0)"
+
+
+def raw_adjusted(p: str, by: str) -> str:
+    return f"{p} * count({p}) OVER (PARTITION BY {by}) / row_number() OVER (PARTITION BY {by} ORDER BY {p} NULLS LAST, var_id) AS raw"
+
+
 def r(expr: str, name: str | None = None, digits: int = 6) -> str:
     """Rounded SQL expression under its own or a new name."""
     return f"round({expr}, {digits}) AS {name or expr}"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..functions.storage import stable
 from ..operators import autocorrelation, neighbours, normalise, panels, plotdata, stats, variable_genes
-from .core import query, r, rounded, rs
+from .core import adjusted, normal_tail, query, r, raw_adjusted, rounded, rs
 
 
 def inputs(spark, sf):
@@ -26,19 +26,22 @@ moran AS (SELECT sample_id, var_id, n / s0 * cross_sum / ss AS i, -1.0::DOUBLE /
   FROM q JOIN c USING (sample_id, var_id) WHERE ss > 1e-12)"""
 
 
-@query(
-    "g1_moran",
-    f"""WITH {MORAN}, pairs AS (SELECT sample_id, src, dst, sum(w) AS b FROM (
+MORAN_TEST = f"""{MORAN}, pairs AS (SELECT sample_id, src, dst, sum(w) AS b FROM (
   SELECT * FROM w UNION ALL SELECT sample_id, dst, src, w FROM w) GROUP BY 1, 2, 3),
 s1 AS (SELECT sample_id, sum(b * b) / 2 AS s1 FROM pairs GROUP BY 1),
 s2 AS (SELECT sample_id, sum(rc * rc) AS s2 FROM (SELECT sample_id, src, sum(b) AS rc FROM pairs GROUP BY 1, 2) GROUP BY 1),
 k AS (SELECT sample_id, count(*) AS n FROM obs GROUP BY 1), s0 AS (SELECT sample_id, sum(w) AS s0 FROM w GROUP BY 1),
 v AS (SELECT sample_id, (n * n * s1 - n * s2 + 3 * s0 * s0) / ((n * n - 1) * s0 * s0)
-  - 1.0::DOUBLE / ((n - 1) * (n - 1)) AS var_norm FROM s0 JOIN s1 USING (sample_id) JOIN s2 USING (sample_id) JOIN k USING (sample_id))
-SELECT sample_id, var_id, {rs('i expected_i var_norm')}, {r('(i - expected_i) / sqrt(var_norm)', 'z_norm')}
-FROM (SELECT sample_id, var_id, any_value(i) AS i, -1.0::DOUBLE / (max(n) - 1) AS expected_i
-  FROM (SELECT DISTINCT sample_id, var_id FROM counts) JOIN k USING (sample_id) LEFT JOIN (SELECT sample_id, var_id, i FROM moran)
-  USING (sample_id, var_id) GROUP BY 1, 2) JOIN v USING (sample_id)""",
+  - 1.0::DOUBLE / ((n - 1) * (n - 1)) AS var_norm FROM s0 JOIN s1 USING (sample_id) JOIN s2 USING (sample_id) JOIN k USING (sample_id)),
+tested AS (SELECT sample_id, var_id, i, -1.0::DOUBLE / (k.n - 1) AS expected_i, var_norm,
+  (i + 1.0::DOUBLE / (k.n - 1)) / sqrt(var_norm) AS z_norm
+  FROM (SELECT DISTINCT sample_id, var_id FROM counts) JOIN k USING (sample_id) JOIN v USING (sample_id)
+  LEFT JOIN (SELECT sample_id, var_id, i FROM moran) USING (sample_id, var_id))"""
+
+
+@query(
+    "g1_moran",
+    f"WITH {MORAN_TEST} SELECT sample_id, var_id, {rs('i expected_i var_norm z_norm')} FROM tested",
     "obs neighbours counts dense_log",
 )
 def _(spark, sf):
@@ -47,10 +50,18 @@ def _(spark, sf):
     return rounded(out.select("sample_id", "var_id", "i", "expected_i", "var_norm", "z_norm"))
 
 
-@query("g1_moran_pvalues")
+@query(
+    "g1_moran_pvalues",
+    f"""WITH {MORAN_TEST}, p AS (SELECT *, {normal_tail('z_norm')} / 2 AS pval_norm FROM tested),
+adj AS (SELECT *, {raw_adjusted('pval_norm', 'sample_id')} FROM p)
+SELECT sample_id, var_id, {rs('i z_norm pval_norm')}, {r('CASE WHEN pval_norm IS NOT NULL THEN ' + adjusted('pval_norm', 'sample_id') + ' END', 'fdr')}
+FROM adj""",
+    "obs neighbours counts dense_log",
+)
 def _(spark, sf):
     d, logs = inputs(spark, sf)
-    return rounded(autocorrelation.moran(logs, d.obs, neighbours.spatial_graph(d.obs)))
+    out = autocorrelation.moran(logs, d.obs, neighbours.spatial_graph(d.obs))
+    return rounded(out.select("sample_id", "var_id", "i", "z_norm", "pval_norm", "fdr"))
 
 
 @query("g2_moran_permutation")
