@@ -196,6 +196,61 @@ def _(spark, sf):
     return rounded(reduction.pca(d.counts, d.obs, d.var, 10)[1])
 
 
+@query(
+    "d10_pca_checks",
+    f"""SELECT 'loadings' AS item, a, b, (a = b)::INT::DOUBLE AS value
+FROM generate_series(0, 63) s(a) CROSS JOIN generate_series(0, 63) t(b)
+UNION ALL SELECT 'scores', a, b, (a = b)::INT::DOUBLE FROM generate_series(0, 9) s(a) CROSS JOIN generate_series(0, 9) t(b)
+UNION ALL SELECT 'means', a, 0, 0.0 FROM generate_series(0, 63) s(a)
+UNION ALL SELECT 'total_variance', 0, 0, {r('sum(v)', 'value', 4)} FROM (SELECT var_samp(x) AS v FROM signed_counts GROUP BY var_id)""",
+    "signed_obs signed_counts",
+)
+def _(spark, sf):
+    """All components: loadings orthonormal, scores centred and uncorrelated, their variances the trace of the covariance."""
+    d = fx.signed(spark, sf)
+    scores, loadings, variance = reduction.pca(d.counts, d.obs, d.var, 64)
+
+    def row(item, a, b, value, digits=6):
+        # Adding zero turns a negative zero into a plain one.
+        return [F.lit(item).alias("item"), a.cast("long").alias("a"), b.cast("long").alias("b"), (F.round(value, digits) + 0.0).alias("value")]
+
+    pc, zero = F.col("pc"), F.lit(0)
+    other = loadings.select("var_id", F.col("pc").alias("pc_b"), F.col("loading").alias("loading_b"))
+    dots = loadings.join(other, "var_id").groupBy("pc", "pc_b").agg(F.sum(F.col("loading") * F.col("loading_b")).alias("v"))
+    cells = stable(scores.select("obs_id", F.posexplode("pcs").alias("pc", "v")))
+    first = cells.where(pc < 10)
+    pairs = first.join(first.toDF("obs_id", "pc_b", "v_b"), "obs_id").groupBy("pc", "pc_b").agg(F.corr("v", "v_b").alias("v"))
+    means = cells.groupBy("pc").agg(F.avg("v").alias("v"))
+    total = variance.agg(F.sum("variance").alias("v"))
+    return (
+        dots.select(*row("loadings", pc, F.col("pc_b"), F.col("v")))
+        .unionByName(pairs.select(*row("scores", pc, F.col("pc_b"), F.col("v"))))
+        .unionByName(means.select(*row("means", pc, zero, F.col("v"))))
+        .unionByName(total.select(*row("total_variance", zero, zero, F.col("v"), 4)))
+    )
+
+
+@query(
+    "d11_variance_checks",
+    f"""SELECT 200 AS n_components, {r('sum(v)', 'total_variance', 5)}, 1.0::DOUBLE AS ratio_sum, 0 AS n_rising, 1.0::DOUBLE AS last_cumulative
+FROM (SELECT var_samp(x) AS v FROM dense_log JOIN ranger USING (var_id) WHERE highly_variable GROUP BY var_id)""",
+    "dense_log ranger",
+)
+def _(spark, sf):
+    """All components: variances add up to the trace, ratios to 1, and neither ever rises."""
+    d, logs, genes = ranger(spark, sf)
+    found = stable(reduction.variance_table(reduction.pca(logs, d.obs, genes.where("highly_variable"), 200)[2]))
+    after = found.select((F.col("pc") - 1).alias("pc"), F.col("ratio").alias("next"))
+    rising = found.join(after, "pc").agg(F.count_if(F.col("next") > F.col("ratio") + 1e-12).alias("n_rising"))
+    sums = found.agg(
+        F.count(F.lit(1)).alias("n_components"),
+        F.round(F.sum("variance"), 5).alias("total_variance"),
+        F.round(F.sum("ratio"), 6).alias("ratio_sum"),
+        F.round(F.max("cumulative"), 6).alias("last_cumulative"),
+    )
+    return sums.withColumn("n_rising", rising.scalar())
+
+
 @query("d11_variance_table")
 def _(spark, sf):
     d, logs, genes = ranger(spark, sf)
