@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -158,6 +159,49 @@ def _(spark, sf):
     return communities.louvain(stable(neighbours.spatial_graph(obs)), obs)
 
 
+PLANTED = """SELECT c_custkey AS obs_id, min(c_custkey) OVER (PARTITION BY c_nationkey) AS community FROM customer"""
+
+
+def planted(spark, sf):
+    """Every customer linked to 12 members of its nation, and the nations of a region to each other by one link each."""
+    people = fx.table(spark, sf, "customer").join(fx.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    nation = Window.partitionBy("c_nationkey")
+    placed = stable(
+        people.select(
+            F.col("n_regionkey").cast("string").alias("sample_id"),
+            F.col("c_custkey").alias("obs_id"),
+            "c_nationkey",
+            (F.row_number().over(nation.orderBy("c_custkey")) - 1).alias("at"),
+            F.count(F.lit(1)).over(nation).alias("size"),
+        )
+    )
+    # The first step joins a nation in a ring, so it is connected; the others look random.
+    step = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda j: F.when(j == 1, 1).otherwise(j * j * 13 + F.col("at") * (j - 1) * 7))
+    near = placed.select("sample_id", "c_nationkey", F.col("obs_id").alias("src"), "at", "size", F.explode(step).alias("step"))
+    near = near.withColumn("at", F.pmod(F.col("at") + F.col("step"), F.col("size")))
+    member = placed.select("c_nationkey", "at", F.col("obs_id").alias("dst"))
+    links = near.join(member, ["c_nationkey", "at"]).select("sample_id", "src", "dst")
+    heads = placed.where("at = 0").select("sample_id", "obs_id")
+    chain = heads.withColumn("dst", F.lead("obs_id").over(Window.partitionBy("sample_id").orderBy("obs_id"))).where("dst IS NOT NULL")
+    edges = links.unionByName(chain.select("sample_id", F.col("obs_id").alias("src"), "dst")).where("src <> dst")
+    return stable(edges.withColumn("weight", F.lit(1.0))), placed.select("sample_id", "obs_id")
+
+
+def by_lowest(clusters):
+    lowest = clusters.groupBy("sample_id", "cluster").agg(F.min("obs_id").alias("community"))
+    return clusters.join(lowest, ["sample_id", "cluster"]).select("obs_id", "community")
+
+
+@query("e6_leiden_planted", PLANTED)
+def _(spark, sf):
+    return by_lowest(communities.leiden(*planted(spark, sf)))
+
+
+@query("e7_louvain_planted", PLANTED)
+def _(spark, sf):
+    return by_lowest(communities.louvain(*planted(spark, sf)))
+
+
 @query(
     "e6_partition_quality",
     f"""WITH u AS (SELECT sample_id, src, dst, count(*)::DOUBLE AS w FROM (SELECT sample_id, src, dst FROM neighbours
