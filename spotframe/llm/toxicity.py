@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ DIMENSIONS = 8
 WINDOW = 64
 
 # The most labelled rows that training reads, and the most characters of one of them.
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 8_000
 TRAIN_CHARS = 20_000
 
 EPOCHS = 12
@@ -104,26 +105,29 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
     if len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS, dtype=np.float32), prior)
     number: dict[str, int] = {}
-    bags: list[list[int]] = []
-    docs = []
+    # Buckets of all words one after the other; millions of numbers, so no Python objects.
+    gathered, sizes, docs = array("i"), array("i"), []
     for text in texts:
         words = words_of(text) or [""]
         for w in words:
             if w not in number:
-                number[w] = len(bags)
-                bags.append(subwords(w))
-        docs.append(np.array([number[w] for w in words], dtype=np.int64))
-    size = np.array([len(b) for b in bags], dtype=np.int64)
+                number[w] = len(number)
+                own = subwords(w)
+                gathered.extend(own)
+                sizes.append(len(own))
+        docs.append(np.array([number[w] for w in words], dtype=np.int32))
+    del number
+    size = np.frombuffer(sizes, dtype=np.int32).astype(np.int64)
     begin = np.cumsum(size) - size
-    flat = np.array([i for b in bags for i in b], dtype=np.int64)
+    flat = np.frombuffer(gathered, dtype=np.int32)
     rng = np.random.default_rng(seed)
     table = (rng.random((BUCKETS, DIMENSIONS)) - 0.5).astype(np.float32) / DIMENSIONS
     soft = (rng.random((DIMENSIONS, 2)) - 0.5).astype(np.float32)
     bias = np.array([0.0, prior], dtype=np.float64)
     g_table, g_soft, g_bias = np.full((BUCKETS, DIMENSIONS), 1e-8), np.full((DIMENSIONS, 2), 1e-8), np.full(2, 1e-8)
     for epoch in range(EPOCHS):
-        slope = (table @ (soft[:, 1] - soft[:, 0])).astype(np.float64)
-        per_word = np.add.reduceat(slope[flat], begin)
+        slope = table @ (soft[:, 1] - soft[:, 0])
+        per_word = np.add.reduceat(slope[flat], begin).astype(np.float64)
         order = rng.permutation(len(docs))
         for i in range(0, len(order), BATCH):
             part = order[i : i + BATCH]
