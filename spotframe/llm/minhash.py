@@ -16,8 +16,10 @@ from .components import components
 SHINGLE = 5
 # A link has 100 * intersection >= PERCENT * union.
 PERCENT = 80
-# A pair at the limit shares no band with probability (1 - 0.8 ** ROWS) ** BANDS = 3e-6.
-BANDS, ROWS = 32, 5
+# A pair at the limit shares no band with probability (1 - 0.8 ** ROWS) ** BANDS = 2e-6.
+BANDS, ROWS = 44, 6
+# Nodes of a band that a task compares with as many others.
+BLOCK = 256
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -127,6 +129,54 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(100 * F.col("_shared") >= percent * union).select("a", "b")
 
 
+def _linked_in_blocks(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of different components that share a band.
+
+    The nodes of a band are dealt to blocks of about BLOCK, and a task gets two blocks with their sets. It compares all
+    their pairs and returns the links that connect something new, so rows in and out grow with nodes, not with pairs.
+    """
+    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
+    dealt = (
+        rest.withColumn("_blocks", blocks)
+        .withColumn("_own", own)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .select("band", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "node", "root")
+    )
+
+    def compare(rows: pa.Table) -> pa.Table:
+        nodes, roots = rows.column("node").to_pylist(), rows.column("root").to_pylist()
+        elements = rows.column("elements").combine_chunks()
+        sizes = np.diff(elements.offsets.to_numpy())
+        values, where = np.unique(elements.flatten().to_numpy(), return_inverse=True)
+        # An element of one set only is in no intersection.
+        often = np.bincount(where, minlength=len(values)) > 1
+        place = np.cumsum(often) - 1
+        bits = np.zeros((len(nodes), max(1, int(often.sum()) + 63 >> 6)), dtype=np.uint64)
+        row, at = np.repeat(np.arange(len(nodes)), sizes)[often[where]], place[where[often[where]]]
+        np.bitwise_or.at(bits, (row, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+        number = {r: k for k, r in enumerate(dict.fromkeys(roots))}
+        component = np.array([number[r] for r in roots])
+        block = rows.column("_own").to_numpy()
+        a_out, b_out = [], []
+        for k in range(len(nodes)):
+            # With one block every pair comes once; with two, pairs inside a block are left to the task of that block.
+            partner = np.flatnonzero(component[k + 1 :] != component[k]) + k + 1
+            if block.min() != block.max():
+                partner = partner[block[partner] != block[k]]
+            if not len(partner):
+                continue
+            shared = np.bitwise_count(bits[partner] & bits[k]).sum(axis=1, dtype=np.int64)
+            for m in partner[100 * shared >= percent * (sizes[partner] + sizes[k] - shared)].tolist():
+                if component[m] != component[k]:
+                    a_out.append(min(nodes[k], nodes[m]))
+                    b_out.append(max(nodes[k], nodes[m]))
+                    component[component == component[m]] = component[k]
+        return pa.table([pa.array(a_out, type=pa.binary()), pa.array(b_out, type=pa.binary())], names=["a", "b"])
+
+    return dealt.join(sets, "node").groupBy("band", "i", "j").applyInArrow(compare, "a binary, b binary").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -188,32 +238,16 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     sets = stable(chosen.mapInArrow(lambda b: _sets(b, shingle), "node binary, elements array<long>").dropDuplicates(["node"]))
 
     links = stable(_verified(first, sets, percent))
-    part = 2
-    while True:
+    found = components(links)
+    known = shared.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # The smallest node has been compared with all others.
+    others = known.where(F.col("node") != F.col("_hub.node")).select("band", "node", "root", "members")
+    open_bands = others.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
+    open_bands = open_bands.where(F.col("_low") != F.col("_high")).select("band")
+    rest = stable(others.join(open_bands, "band"))
+    if not rest.isEmpty():
+        links = stable(links.unionByName(_linked_in_blocks(rest, sets, percent)))
         found = components(links)
-        known = shared.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # The smallest node has been compared with all others.
-        others = known.where(F.col("node") != F.col("_hub.node"))
-        open_bands = others.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
-        open_bands = open_bands.where(F.col("_low") != F.col("_high")).select("band")
-        rest = stable(others.join(open_bands, "band").select("band", "node", "n", "root", "members"))
-        if rest.isEmpty():
-            break
-        last = rest.where(F.col("members") > part).isEmpty()
-        chance = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) * F.col("members") < F.lit(part << 20)
-        asked = rest.where(chance).select("band", F.col("node").alias("a"), F.col("n").alias("_n"), F.col("root").alias("_r"))
-        answers = rest.select("band", F.col("node").alias("b"), F.col("n").alias("_m"), F.col("root").alias("_s"))
-        pairs = (
-            asked.join(answers, "band")
-            .where((F.col("_r") != F.col("_s")) & near("_n", "_m"))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct()
-        )
-        links = stable(links.unionByName(_verified(pairs, sets, percent)))
-        if last:
-            found = components(links)
-            break
-        part *= 8
 
     roots = sketch.join(found, "node", "left").select("_id", "_key", "n", F.coalesce("root", "node").alias("root"))
     roots = stable(roots)
