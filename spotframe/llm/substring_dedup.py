@@ -28,8 +28,9 @@ STEP = 5 << 20
 # Words that a bucket should get, so that a task can hold it.
 BUCKET_WORDS = 2_500_000
 
-# Slots of minimisers whose size is measured first, per bucket; those above a share of a bucket are heavy.
-SLOTS_PER_BUCKET = 64
+# Slots of minimisers whose size is measured first, per full bucket; those above a share of a bucket are heavy.
+SLOTS_PER_BUCKET = 32
+LEAST_SLOTS = 2_048
 HEAVY_SHARE = 0.125
 SLOTS_HELD = 1 << 20
 
@@ -279,7 +280,7 @@ def repeated_spans(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A super-k-mer string holds a word about three times, a word has about six bytes.
     buckets = max(4 * partitions, volume // (2 * bucket_words) + 1)
-    slots = SLOTS_PER_BUCKET * buckets
+    slots = max(LEAST_SLOTS, SLOTS_PER_BUCKET * (volume // (2 * bucket_words) + 1))
     sizes = texts.select("_text").mapInArrow(lambda b: _sizes(b, slots, window, piece), "slot long, words long")
     heavy = sizes.groupBy("slot").agg(F.sum("words").alias("words")).where(F.col("words") > HEAVY_SHARE * bucket_words)
     flagged = spark.sparkContext.broadcast(np.sort(np.array([r["slot"] for r in heavy.collect()], dtype=np.uint64)))
