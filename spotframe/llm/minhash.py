@@ -18,8 +18,8 @@ SHINGLE = 5
 PERCENT = 80
 # A pair at the limit shares no band with probability (1 - 0.8 ** ROWS) ** BANDS = 2e-6.
 BANDS, ROWS = 44, 6
-# Nodes of a band that a task compares with as many others.
-BLOCK = 256
+# Elements of the sets of one block; a task compares two blocks.
+BLOCK_ELEMENTS = 1 << 20
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -132,10 +132,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _linked_in_blocks(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between nodes of different components that share a band.
 
-    The nodes of a band are dealt to blocks of about BLOCK, and a task gets two blocks with their sets. It compares all
+    The nodes of a band are dealt to blocks of about BLOCK_ELEMENTS, and a task gets two blocks with their sets. It compares all
     their pairs and returns the links that connect something new, so rows in and out grow with nodes, not with pairs.
     """
-    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
+    blocks = F.ceil(F.col("members") * F.col("mean_n") / F.lit(BLOCK_ELEMENTS)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
     dealt = (
         rest.withColumn("_blocks", blocks)
@@ -217,7 +217,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     )
     offered = nodes.select("node", "n", F.explode("bands").alias("band"))
     least = F.min(F.struct("node", "n"))
-    hubs = offered.groupBy("band").agg(least.alias("_hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    hubs = offered.groupBy("band").agg(least.alias("_hub"), F.count(F.lit(1)).alias("members"), F.avg("n").alias("mean_n")).where("members > 1")
     shared = stable(offered.join(hubs, "band"))
 
     def near(n: str, m: str):
@@ -241,7 +241,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     found = components(links)
     known = shared.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The smallest node has been compared with all others.
-    others = known.where(F.col("node") != F.col("_hub.node")).select("band", "node", "root", "members")
+    others = known.where(F.col("node") != F.col("_hub.node")).select("band", "node", "root", "members", "mean_n")
     open_bands = others.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
     open_bands = open_bands.where(F.col("_low") != F.col("_high")).select("band")
     rest = stable(others.join(open_bands, "band"))
@@ -251,7 +251,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
 
     roots = sketch.join(found, "node", "left").select("_id", "_key", "n", F.coalesce("root", "node").alias("root"))
     roots = stable(roots)
-    smallest = roots.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("_id").alias("component_id"))
+    # Written, so that Spark may split the rows of a large component in the join.
+    smallest = stable(roots.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("_id").alias("component_id")))
     many = roots.where(F.col("root").isNotNull()).join(smallest, "root")
     empty = roots.where(F.col("root").isNull()).withColumn("component_id", F.col("_id"))
     return many.unionByName(empty.select(*many.columns)).select(

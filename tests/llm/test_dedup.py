@@ -71,7 +71,8 @@ def test_near_duplicates_equal_all_pairs(docs, corpus, width):
     same(got, linked(corpus, width, 80))
 
 
-def test_chains_and_bands_without_a_common_hub(spark):
+@pytest.mark.parametrize("block", [minhash.BLOCK_ELEMENTS, 1_000])
+def test_chains_and_bands_without_a_common_hub(spark, monkeypatch, block):
     """Neighbours in a chain are similar, its ends are not, and the smallest set is near to none of them."""
     rng = random.Random(5)
     base = [f"w{k}" for k in range(200)]
@@ -81,6 +82,7 @@ def test_chains_and_bands_without_a_common_hub(spark):
         words[rng.randrange(200)] = f"x{k}"
         words[rng.randrange(200)] = f"y{k}"
     rows += [(k, " ".join(rng.sample(base, 60) + [f"z{k}-{j}" for j in range(60)])) for k in range(40)]
+    monkeypatch.setattr(minhash, "BLOCK_ELEMENTS", block)
     table = spark.createDataFrame(rows, "doc_id long, text string")
     # One row per band: bands hold far more than similar sets.
     got = [tuple(r) for r in minhash.near_duplicates(table, shingle=2, bands=48, rows=1).collect()]
