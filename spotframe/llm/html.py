@@ -33,6 +33,8 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SIDE = frozenset("head nav header footer aside form menu button select option svg canvas object audio video dialog".split())
 MAIN = frozenset("article main".split())
+# Side elements that may also wrap a whole page.
+WRAPS = frozenset("form header".split())
 # Elements whose start ends an open paragraph, list item, cell or option.
 CLOSES = {
     "p": BLOCKS - {"caption", "tbody", "td", "tfoot", "th", "thead", "tr"},
@@ -53,6 +55,11 @@ SIDE_WORDS = frozenset(
     "sidebars signup skyscraper social sponsor sponsored sponsors subscribe subscription tagcloud tags toolbar widget widgets "
     "alert complementary contentinfo search".split()
 )
+# First words of names whose elements hold no article of the page, even where they hold an article element.
+SHUT_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments commentlist disqus promo promos promoted related replies "
+    "reply respond reviews sponsor sponsored sponsors".split()
+)
 MAIN_WORDS = frozenset(
     "article articlebody content entry hentry main maincontent post postbody postcontent story storybody bodytext".split()
 )
@@ -71,11 +78,11 @@ WORD = re.compile(r"[a-z]+")
 class Line:
     """Text of one block."""
 
-    __slots__ = ("parts", "linked", "side", "main", "text")
+    __slots__ = ("parts", "linked", "side", "main", "wrap", "text")
 
-    def __init__(self, side: bool, main: bool):
+    def __init__(self, side: bool, main: bool, wrap: int):
         self.parts: list[str] = []
-        self.linked, self.side, self.main, self.text = 0, side, main, ""
+        self.linked, self.side, self.main, self.wrap, self.text = 0, side, main, wrap, ""
 
     def length(self) -> int:
         """Characters outside links, white space aside; none if most of the text is links."""
@@ -92,13 +99,37 @@ def _words_of(attributes: str) -> set[str]:
     return found
 
 
+def _shuts(attributes: str) -> bool:
+    names = " ".join(m[1] or m[2] or m[3] or "" for m in NAMES.finditer(attributes)).lower().split()
+    return any(found[0] in SHUT_WORDS for found in map(WORD.match, names) if found)
+
+
+def _unwrap(lines: list[Line], parents: list[int]) -> None:
+    """Mark lines inside side elements that may wrap the article; one with most of a page's text stands beside nothing."""
+    held = [0] * len(parents)
+    lift = not any(one.main and not one.side and not one.wrap for one in lines)
+    if lift:
+        for one in lines:
+            held[one.wrap] += 0 if one.side else one.length()
+        for k in range(len(parents) - 1, 0, -1):
+            held[parents[k]] += held[k]
+    beside = [False] * len(parents)
+    for k in range(1, len(parents)):
+        beside[k] = beside[parents[k]] or not (lift and 2 * held[k] > held[0])
+    for one in lines:
+        one.side |= beside[one.wrap]
+
+
 def lines_of(page: str) -> list[Line]:
     """The page's blocks in order, with what stands around them."""
     out: list[Line] = []
-    # Open elements: name, whether text inside is beside the article, whether it is inside the article.
-    stack: list[tuple[str, bool, bool]] = []
+    # Open elements: name, whether text inside is beside the article, whether it is inside the article, and the innermost
+    # side element around it that may wrap the article (0 if none).
+    stack: list[tuple[str, bool, bool, int]] = []
     opened: Counter[str] = Counter()
-    line = Line(False, False)
+    # Of each such element the next one outside, and the innermost from there that no article element lifts.
+    parents, shut = [0], [0]
+    line = Line(False, False, 0)
     links = 0
     at, end = 0, len(page)
 
@@ -108,11 +139,11 @@ def lines_of(page: str) -> list[Line]:
         if links:
             line.linked += len("".join(piece.split()))
 
-    def state() -> tuple[bool, bool]:
-        return (stack[-1][1], stack[-1][2]) if stack else (False, False)
+    def state() -> tuple[bool, bool, int]:
+        return stack[-1][1:] if stack else (False, False, 0)
 
     def close(depth: int) -> None:
-        opened.subtract(name for name, _, _ in stack[depth:])
+        opened.subtract(one[0] for one in stack[depth:])
         del stack[depth:]
 
     def cut() -> Line:
@@ -161,26 +192,33 @@ def lines_of(page: str) -> list[Line]:
             if name == "hr":
                 line = cut()
             continue
-        side, main = state()
-        before = (side, main)
+        side, main, wrap = before = state()
         words = _words_of(match[3]) if match[3] else set()
         if name in MAIN or words & MAIN_WORDS and not words & SIDE_WORDS and name in BLOCKS:
             main = True
+            # An article inside a form or a "has-sidebar" is still the article.
+            wrap = shut[wrap] if name in MAIN else wrap
         elif name != "body" and name != "html":
             # An article may have a header of its own, with its title.
             beside = words & SIDE_WORDS - {"header"} if main else words & SIDE_WORDS
-            side = side or name in SIDE and not (main and name == "header") or bool(beside)
+            side = side or name in SIDE - WRAPS
+            if beside or name in WRAPS and not (main and name == "header"):
+                parents.append(wrap)
+                shut.append(len(shut) if match[3] and _shuts(match[3]) else shut[wrap])
+                wrap = len(parents) - 1
         if match[3] and HIDDEN.search(match[3]):
             side = True
-        stack.append((name, side, main))
+        stack.append((name, side, main, wrap))
         opened[name] += 1
-        if name in BLOCKS or (side, main) != before:
+        if name in BLOCKS or (side, main, wrap) != before:
             line = cut()
             links = 0 if name in BLOCKS and name != "a" else links
     cut()
     for one in out:
         one.text = " ".join("".join(one.parts).split())
-    return [one for one in out if one.text]
+    out = [one for one in out if one.text]
+    _unwrap(out, parents)
+    return out
 
 
 def main_text(page: str) -> str:
@@ -222,7 +260,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
     """Main text per page: every column but the markup, then ``text`` (empty if none).
 
     Inside elements that name the article (article, main, or a class that says so) all blocks are text but those marked
-    as beside it; without one, text starts where WINDOW lines hold SURGE characters outside links (or as many as the
+    as beside it, also where a form, a header or an element with a class like "has-sidebar" stands around the article, or
+    around most of the text of a page without one. Without one, text starts where WINDOW lines hold SURGE characters outside links (or as many as the
     longest line has) and ends before WINDOW lines hold none. Character references are decoded, white space inside a
     block becomes one space, blocks are joined by newlines.
 

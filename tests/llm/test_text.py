@@ -50,6 +50,30 @@ def test_main_text(spark):
     assert html.extract(table.limit(0)).collect() == []
 
 
+LONG = "Long words of an article. " * 8
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ("<form id='aspnetForm'><article>", "</article></form>"),
+        ("<div class='content-sidebar-wrap'><main>", "</main><div class='sidebar'>s</div></div>"),
+        ("<div class='layout has-sidebar'><article>", "</article><div class='sidebar'>s</div></div>"),
+        ("<header><form><div class='search'><article>", "</article></div></form></header><p>beside"),
+        ("<form>", "</form>"),
+        ("<div class='has-sidebar'><div class='content'>", "</div><div class='sidebar'>s</div></div>"),
+    ],
+)
+def test_wrapped_articles_keep_their_text(start, end):
+    page = f"<nav><a href=x>Home</a></nav>{start}<h1>T</h1><p>{LONG}</p><div class='ad'>buy</div><p>end</p>{end}<footer>c</footer>"
+    assert html.main_text(page) == f"T\n{LONG.strip()}\nend"
+
+
+def test_articles_beside_the_article_stay_out():
+    for start, end in [("<aside>", "</aside>"), ("<nav>", "</nav>"), ("<footer>", "</footer>"), ("<div class='comments-area'>", "</div>")]:
+        assert html.main_text(f"<article><p>text</p></article>{start}<article>{LONG}</article>{end}") == "text"
+
+
 def test_lines_between_surge_and_dive():
     lengths = np.array([5, 0, 0, 0, 40, 60, 3, 0, 0, 50, 0, 0, 0, 2])
     kept = html._between(lengths, 80)
