@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from spotframe.operators import communities, domains, neighbours
 
@@ -177,3 +178,54 @@ def test_radius_zero_links_equal_places(spots):
     points = spots([("s", 1, 2, 3), ("s", 2, 2, 3), ("s", 3, 2, 4)])
     found = neighbours.radius_graph(points, 0.0).select("src", "dst").collect()
     assert sorted(map(tuple, found)) == [(1, 2), (2, 1)]
+
+
+def ring_of_cliques(sample, first, n, size=5):
+    rows = []
+    for g in range(n):
+        nodes = [first + g * size + i for i in range(size)]
+        rows += [(sample, a, b, 1.0) for i, a in enumerate(nodes) for b in nodes[i + 1 :]]
+        rows.append((sample, nodes[-1], first + (g + 1) % n * size, 1.0))
+    return rows
+
+
+@pytest.mark.parametrize("method", ["leiden", "louvain"])
+def test_labels_depend_on_the_sample_alone(spark, method):
+    """Neither the size of a sample nor that of its neighbours chooses the search."""
+    edges, obs, _ = planted(spark, n=90, groups=3, inside=0.15, outside=0.05)
+    other = spark.createDataFrame(ring_of_cliques("t", 10_000, 30), edges.schema)
+    more = obs.unionByName(spark.createDataFrame([("t", 10_000 + i) for i in range(150)], obs.schema))
+
+    def groups(found):
+        return set(found.where("sample_id = 's'").groupBy("cluster").agg({"obs_id": "collect_set"}).toPandas().iloc[:, 1].map(frozenset))
+
+    run = getattr(communities, method)
+    small = groups(run(edges, obs, resolution=1.0))
+    assert small == groups(run(edges.unionByName(other), more, resolution=1.0, task_links=0))
+
+
+def test_local_moving_leaves_no_better_move(spark):
+    edges, obs, _ = planted(spark, n=90, groups=3, inside=0.15, outside=0.05)
+    links = communities.undirected(edges)
+    degree = links.groupBy("sample_id", F.col("src").alias("node")).agg(F.sum("w").alias("k"))
+    total = degree.agg(F.sum("k")).first()[0]
+    start = degree.withColumn("mass", F.lit(total)).withColumn("comm", F.col("node"))
+    found = communities._move(links, start, 1.0, 42, 0).toPandas()
+    comm, k = dict(zip(found.node, found.comm)), dict(zip(found.node, found.k))
+    held = found.groupby("comm").k.sum().to_dict()
+    near = links.toPandas()
+    for node, own in near.groupby("src"):
+        to = own.w.groupby(own.dst.map(comm)).sum()
+        stay = to.get(comm[node], 0.0) - k[node] * (held[comm[node]] - k[node]) / total
+        assert all(w - k[node] * held[c] / total <= stay + 1e-6 for c, w in to.items() if c != comm[node])
+
+
+def test_refinement_leaves_no_linked_node_alone(spark):
+    """A chain in one community: every node gains by joining a neighbour's part."""
+    n = 200
+    rows = [("s", a, b, 1.0) for i in range(n - 1) for a, b in ((i, i + 1), (i + 1, i))]
+    edges = spark.createDataFrame(rows, "sample_id string, src long, dst long, w double")
+    nodes = [("s", i, 2.0 if 0 < i < n - 1 else 1.0, 2.0 * (n - 1), 0) for i in range(n)]
+    nodes = spark.createDataFrame(nodes, "sample_id string, node long, k double, mass double, comm long")
+    parts = communities._refine(edges, nodes, 0.5, 42, 0).groupBy("part").count()
+    assert parts.where("count = 1").count() == 0
