@@ -69,7 +69,7 @@ def _(spark, sf):
     d, logs = inputs(spark, sf)
     genes = variable_genes.default_genes(None, logs, d.obs)
     edges = stable(neighbours.spatial_graph(d.obs))
-    return rounded(autocorrelation.moran_permutation(logs, d.obs, edges, genes, n_perms=50))
+    return rounded(autocorrelation.moran_permutation(logs, d.obs, edges, genes))
 
 
 @query(

@@ -158,3 +158,20 @@ def test_intermediates_are_shared_and_can_go(spark):
     assert os.path.isdir(local)
     release(table)
     assert not os.path.isdir(local)
+
+
+def test_permutation_query_runs_the_default_number(monkeypatch):
+    """A smallest p of 1/1001, as the operator and not a query's own number has it."""
+    from spotframe.operators import autocorrelation
+    from spotframe.registry import spatial
+    from spotframe.registry.core import QUERIES
+
+    drawn = []
+    monkeypatch.setattr(spatial, "inputs", lambda spark, sf: (type("D", (), {"obs": None}), None))
+    monkeypatch.setattr(spatial.variable_genes, "default_genes", lambda *a: None)
+    monkeypatch.setattr(spatial.neighbours, "spatial_graph", lambda obs: None)
+    monkeypatch.setattr(spatial, "stable", lambda df: df)
+    monkeypatch.setattr(spatial, "rounded", lambda df: df)
+    monkeypatch.setattr(autocorrelation, "moran_permutation", lambda *a, n_perms=autocorrelation.N_PERMS: drawn.append(n_perms))
+    QUERIES["g2_moran_permutation"](None, "")
+    assert drawn == [1_000]
