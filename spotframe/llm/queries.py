@@ -119,7 +119,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.size("lines").cast("long").alias("n_lines"),
         F.size("removed").cast("long").alias("n_removed"),
-        F.sha2(line_dedup.kept_text(), 256).alias("kept_sha256"),
+        F.sha2(F.coalesce(line_dedup.kept_text(), F.lit("")), 256).alias("kept_sha256"),
     )
 
 

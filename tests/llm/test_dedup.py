@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spotframe.llm import exact_dedup, line_dedup, minhash, substring_dedup
+from spotframe.llm import exact_dedup, line_dedup, minhash, queries, substring_dedup
 from spotframe.llm.components import components
 
 from .plain import covered_lines, linked, same
@@ -179,3 +179,11 @@ def test_kept_lines(spark):
     table = spark.createDataFrame([(1, "a\nb\nc\nd"), (2, "x\na\nb\nc\ny"), (3, "a\nb\nc")], "doc_id long, text string")
     kept = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(table).orderBy(F.col("doc_id")).collect()}
     assert kept == {1: "a\nb\nc\nd", 2: "x\ny"}
+
+
+def test_line_query_of_a_null_text(spark, tmp_path):
+    rows = [(1, None), (2, ""), (3, "a\nb"), (4, "a\nb")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["kept_sha256"]) for r in queries.op8_line_dedup(spark, str(tmp_path)).collect()}
+    digest = [hashlib.sha256(t).hexdigest() for t in (b"", b"a\nb")]
+    assert found == {1: (0, 0, digest[0]), 2: (1, 0, digest[0]), 3: (2, 0, digest[1]), 4: (2, 2, digest[0])}
