@@ -202,6 +202,20 @@ def _(spark, sf):
     return by_lowest(communities.louvain(*planted(spark, sf)))
 
 
+# Several blocks a sample, also on the smallest tables.
+SEVERAL_BLOCKS = 1_500
+
+
+@query("e6_leiden_blocks_planted", PLANTED)
+def _(spark, sf):
+    return by_lowest(communities.leiden(*planted(spark, sf), block_links=SEVERAL_BLOCKS))
+
+
+@query("e7_louvain_blocks_planted", PLANTED)
+def _(spark, sf):
+    return by_lowest(communities.louvain(*planted(spark, sf), block_links=SEVERAL_BLOCKS))
+
+
 @query(
     "e6_partition_quality",
     f"""WITH u AS (SELECT sample_id, src, dst, count(*)::DOUBLE AS w FROM (SELECT sample_id, src, dst FROM neighbours

@@ -83,10 +83,10 @@ def planted(spark, n=240, groups=4, inside=0.25, outside=0.01):
     return spark.createDataFrame(rows, "sample_id string, src long, dst long, weight double"), obs, label
 
 
-@pytest.mark.parametrize("method, links", [("leiden", 500_000), ("louvain", 500_000), ("louvain", 0)])
+@pytest.mark.parametrize("method, links", [("leiden", 1_500), ("louvain", 500_000), ("louvain", 1_500)])
 def test_planted_groups_are_found(spark, method, links):
     edges, obs, label = planted(spark)
-    found = getattr(communities, method)(edges, obs, resolution=1.0, task_links=links)
+    found = getattr(communities, method)(edges, obs, resolution=1.0, block_links=links)
     found = found.toPandas().sort_values("obs_id")
     # The last spot has no edge and stays alone.
     assert found.cluster.nunique() == 5 and (found.cluster == found.cluster.iloc[-1]).sum() == 1
@@ -103,7 +103,7 @@ def test_planted_groups_are_found(spark, method, links):
 def test_refined_rounds_give_connected_parts(spark):
     edges, obs, label = planted(spark, n=80, groups=2)
     links = communities.undirected(edges).toPandas()
-    found = communities.leiden(edges, obs, resolution=1.0, n_iterations=1, task_links=0).toPandas()
+    found = communities.leiden(edges, obs, resolution=1.0, n_iterations=1, block_links=150).toPandas()
     group = dict(zip(found.obs_id, found.cluster))
     inner = links[links.src.map(group) == links.dst.map(group)]
     for name, members in found.groupby("cluster").obs_id:
@@ -117,13 +117,15 @@ def test_refined_rounds_give_connected_parts(spark):
 
 
 def test_connected_splits_a_broken_community(spark):
-    nodes = spark.createDataFrame([("s", i, 0) for i in range(6)], "sample_id string, node long, comm long")
+    nodes = spark.createDataFrame([("s", i, 1.0, 8.0, 0) for i in range(6)], "sample_id string, node long, k double, mass double, to long")
     chain = [(0, 1), (1, 2), (3, 4), (4, 5)]
     edges = spark.createDataFrame(
         [("s", a, b, 1.0) for u, v in chain for a, b in ((u, v), (v, u))], "sample_id string, src long, dst long, w double"
     )
-    got = {r.node: r.comm for r in communities._connected(edges, nodes).collect()}
-    assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 3}
+    for links in (1, 100):
+        layout = communities._layout(edges, nodes.withColumn("comm", F.col("to")), links)
+        got = {r.node: r.comm for r in communities._connected(layout, nodes).collect()}
+        assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 3}
 
 
 def labelled(spark, rows):
@@ -201,17 +203,33 @@ def test_labels_depend_on_the_sample_alone(spark, method):
 
     run = getattr(communities, method)
     small = groups(run(edges, obs, resolution=1.0))
-    assert small == groups(run(edges.unionByName(other), more, resolution=1.0, task_links=0))
+    assert small == groups(run(edges.unionByName(other), more, resolution=1.0))
 
 
-def test_local_moving_leaves_no_better_move(spark):
+@pytest.mark.parametrize("method", ["leiden", "louvain"])
+def test_labels_do_not_depend_on_partitions(spark, method):
+    """Several blocks a sample, dealt to 2 and to 16 tasks."""
+    edges, obs, _ = planted(spark, n=90, groups=3, inside=0.15, outside=0.05)
+    found = []
+    for n in ("2", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            rows = getattr(communities, method)(edges.repartition(int(n)), obs, resolution=1.0, block_links=200).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        found.append(sorted(map(tuple, rows)))
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("block_links", [100, 1000, 100_000])
+def test_local_moving_leaves_no_better_move(spark, block_links):
     edges, obs, _ = planted(spark, n=90, groups=3, inside=0.15, outside=0.05)
     links = communities.undirected(edges)
     degree = links.groupBy("sample_id", F.col("src").alias("node")).agg(F.sum("w").alias("k"))
     total = degree.agg(F.sum("k")).first()[0]
     start = degree.withColumn("mass", F.lit(total)).withColumn("comm", F.col("node"))
-    found = communities._move(links, start, 1.0, 42, 0).toPandas()
-    comm, k = dict(zip(found.node, found.comm)), dict(zip(found.node, found.k))
+    found = communities._move(communities._layout(links, start, block_links), 1.0, 42, 0)[0].toPandas()
+    comm, k = dict(zip(found.node, found.to)), dict(zip(found.node, found.k))
     held = found.groupby("comm").k.sum().to_dict()
     near = links.toPandas()
     for node, own in near.groupby("src"):
@@ -220,12 +238,16 @@ def test_local_moving_leaves_no_better_move(spark):
         assert all(w - k[node] * held[c] / total <= stay + 1e-6 for c, w in to.items() if c != comm[node])
 
 
-def test_refinement_leaves_no_linked_node_alone(spark):
+@pytest.mark.parametrize("block_links", [20, 100_000])
+def test_refinement_leaves_no_linked_node_alone(spark, block_links):
     """A chain in one community: every node gains by joining a neighbour's part."""
     n = 200
     rows = [("s", a, b, 1.0) for i in range(n - 1) for a, b in ((i, i + 1), (i + 1, i))]
     edges = spark.createDataFrame(rows, "sample_id string, src long, dst long, w double")
     nodes = [("s", i, 2.0 if 0 < i < n - 1 else 1.0, 2.0 * (n - 1), 0) for i in range(n)]
     nodes = spark.createDataFrame(nodes, "sample_id string, node long, k double, mass double, comm long")
-    parts = communities._refine(edges, nodes, 0.5, 42, 0).groupBy("part").count()
-    assert parts.where("count = 1").count() == 0
+    layout = communities._layout(edges, nodes, block_links)
+    found = communities._refine(layout, nodes.withColumnRenamed("comm", "to"), 0.5, 42, 0)[0].select("node", "to").toPandas()
+    parts = found.groupby("to").node.agg(["count", "min", "max"])
+    # Every part is a piece of the chain.
+    assert (parts["count"] > 1).all() and (parts["max"] - parts["min"] + 1 == parts["count"]).all()
