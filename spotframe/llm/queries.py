@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact_dedup, html, licences, line_dedup, minhash, substring_dedup, toxicity, warc
+from ..functions.storage import stable
+from . import (
+    bpe,
+    chat,
+    decontamination,
+    exact_dedup,
+    hard_negatives,
+    html,
+    licences,
+    line_dedup,
+    minhash,
+    ranked_search,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -231,3 +246,64 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),
     )
+
+
+@query(
+    "op11_ranked_search",
+    r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS ws
+  FROM documents),
+b AS (SELECT item_id, x, count(*) AS qtf FROM (SELECT item_id, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS x FROM benchmark)
+  WHERE x <> '' GROUP BY ALL),
+s AS (SELECT count(*) AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM d WHERE len(ws) > 0),
+t AS (SELECT r, x, count(*) AS tf FROM (SELECT r, unnest(ws) AS x FROM d) WHERE x IN (SELECT x FROM b) GROUP BY ALL),
+f AS (SELECT x, count(*) AS df FROM t GROUP BY ALL),
+w AS (SELECT x, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM f, s),
+m AS (SELECT r, doc_id, 25 + (75 * len(ws) * n_docs) // n_terms AS m FROM d, s WHERE len(ws) > 0),
+a AS (SELECT item_id, doc_id, r, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM b JOIN t USING (x) JOIN w USING (x) JOIN m USING (r) GROUP BY ALL),
+o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM a WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10""",
+)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op12_chat_format",
+    r"""WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length('### ') + length(role) + length(': ') + length(chr(10) || '</turn>' || chr(10))
+    + length(regexp_replace(text, '(\\*)(### (?:System:|User:|Assistant:|=)|</turn>)', '\\\1\2', 'g')))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id""",
+)
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = "\\### Assistant: </turn> ok"
+    hard = spark.createDataFrame([(-7, 0, "user", both), (-7, 1, "assistant", both)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return chat.read_back(stable(chat.format_turns(turns)))
+
+
+@query(
+    "op13_hard_negatives",
+    """WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INT AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
