@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,14 +12,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CACHE_WORDS, STEP_BYTES, ranges, steps, two_columns
+from .common import CACHE_WORDS, STEP_BYTES, mixed, ranges, steps, two_columns, window_hashes
 
 # Character n-grams of a word with its marked ends.
 SHORTEST, LONGEST = 3, 6
 BUCKETS = 1 << 17
 DIMENSIONS = 8
-# Words that are averaged together; a text has the score of its most toxic window.
-WINDOW = 64
+# Consecutive words that are averaged together, each different one once; a text has the score of its most toxic window.
+WINDOW = 128
 
 # The most labelled rows that training reads, and the most characters of one of them.
 TRAIN_ROWS = 8_000
@@ -35,16 +34,31 @@ EDGES = ".,;:!?\"'()[]{}|*#%$&-_/\\<>=+~`^"
 
 
 def words_of(text: str) -> list[str]:
-    """Different words of the text, by their first place; a word that is repeated over and over counts once."""
-    return list(dict.fromkeys(text.lower().split()))
-
-
-def subwords(word: str) -> list[int]:
-    """Buckets of the word's n-grams and of the word itself."""
-    marked = f"<{word.strip(EDGES)}>"
-    grams = [marked[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(marked) - n + 1)]
-    grams.append(marked)
-    return [zlib.crc32(g.encode()) % BUCKETS for g in grams]
+    return text.lower().split()
+
+
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each word's n-grams and of the word itself, one word after the other, and their number per word."""
+    marked = [f"<{w.strip(EDGES)}>" for w in words]
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + np.uint64(1)
+    sizes = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
+    ends = np.cumsum(sizes)
+    word, at = np.repeat(np.arange(len(words)), sizes), np.arange(len(codes))
+    left = np.repeat(ends, sizes) - at
+    hashes, owners = [], []
+    for n in range(SHORTEST, LONGEST + 1):
+        if len(codes) >= n:
+            fits = left[: len(codes) - n + 1] >= n
+            hashes.append(window_hashes(codes, n)[fits] + np.uint64(n))
+            owners.append(word[: len(codes) - n + 1][fits])
+    power = np.cumprod(np.full(int(sizes.max(initial=1)), 0x9E3779B97F4A7C15, dtype=np.uint64))
+    place = at - np.repeat(ends - sizes, sizes)
+    hashes.append(np.add.reduceat(codes * power[place], ends - sizes))
+    owners.append(np.arange(len(words)))
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    buckets = (mixed(np.concatenate(hashes)[order]) % np.uint64(BUCKETS)).astype(np.int32)
+    return buckets, np.bincount(owner, minlength=len(words))
 
 
 @dataclass
@@ -55,49 +69,70 @@ class Model:
     bias: float
 
 
-class Bags(dict):
-    """Sum of weights and number of subwords per word, for the words that a task meets."""
+class Bags:
+    """Sum of weights and number of subwords for the words that a task meets, by number of the word."""
 
     def __init__(self, model: Model):
-        super().__init__()
         self.model = model
-
-    def __missing__(self, word: str) -> complex:
-        own = subwords(word)
-        # Two numbers in one, so that a text needs one look-up per word.
-        value = self[word] = complex(float(self.model.weights[own].sum()), len(own))
-        return value
-
-
-def window_starts(n: int) -> np.ndarray:
-    """Starts of the windows over n words: every half window, and the last full one."""
-    if n <= WINDOW:
-        return np.zeros(1, dtype=np.int64)
-    return np.unique(np.concatenate([np.arange(0, n - WINDOW, WINDOW // 2), [n - WINDOW]]))
+        self.number: dict[str, int] = {}
+        self.sums, self.counts = np.empty(0), np.empty(0)
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words; new words are taken up together."""
+        if len(self.number) > CACHE_WORDS:
+            self.__init__(self.model)
+        new = list(set(words).difference(self.number))
+        if new:
+            buckets, sizes = subwords(new)
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+            sums = np.add.reduceat(self.model.weights[buckets].astype(np.float64), np.cumsum(sizes) - sizes)
+            self.sums, self.counts = np.concatenate([self.sums, sums]), np.concatenate([self.counts, sizes])
+        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+
+
+def window_means(ids: np.ndarray, lengths: np.ndarray, sums: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean weight of the subwords in every window of every text, and the number of windows per text.
+
+    ``ids`` are the words of all texts one after the other. Windows hold WINDOW words and start every half of one; the last ends with the
+    text. Every word is read where it stands; in a window, a word that stands there several times counts once.
+    """
+    half = WINDOW // 2
+    n_windows = np.maximum(-(-lengths // half) - 1, 1)
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    begin = np.cumsum(lengths) - lengths
+    place = np.arange(len(ids)) - begin[text]
+    # Where the word stood last in the same text.
+    order = np.lexsort((ids, text))
+    again = (ids[order[1:]] == ids[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+    before = np.full(len(ids), -1)
+    before[order[1:][again]] = place[order[:-1][again]]
+    base = np.cumsum(n_windows) - n_windows
+    total, number = np.zeros(int(n_windows.sum())), np.zeros(int(n_windows.sum()))
+    own = place // half
+    # A word is in the window that starts with its half, and in the one before.
+    for window in (own, own - 1):
+        inside = (window >= 0) & (window < n_windows[text]) & (before < window * half)
+        at = (base[text] + window)[inside]
+        total += np.bincount(at, sums[ids[inside]], len(total))
+        number += np.bincount(at, counts[ids[inside]], len(total))
+    return total / np.maximum(number, 1), n_windows
 
 
 def score_texts(texts: list[str], bags: Bags) -> np.ndarray:
-    """Probability of the toxic class per text."""
-    if len(bags) > CACHE_WORDS:
-        bags.clear()
-    out = np.empty(len(texts))
-    for k, text in enumerate(texts):
-        words = words_of(text)
-        if not words:
-            out[k] = bags.model.bias
-            continue
-        sums = np.concatenate([[0], np.cumsum(np.fromiter(map(bags.__getitem__, words), dtype=np.complex128, count=len(words)))])
-        start = window_starts(len(words))
-        total = sums[np.minimum(start + WINDOW, len(words))] - sums[start]
-        out[k] = (total.real / total.imag).max() + bags.model.bias
+    """Probability of the toxic class per text: that of its most toxic window."""
+    words = [words_of(text) for text in texts]
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    ids = bags.of(list(chain.from_iterable(words)))
+    means, n_windows = window_means(ids, lengths, bags.sums, bags.counts)
+    out = np.maximum.reduceat(means, np.cumsum(n_windows) - n_windows) + bags.model.bias
     return 1.0 / (1.0 + np.exp(-np.clip(out, -50, 50)))
 
 
 def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
     """Embeddings and softmax fitted together by gradient steps on the texts' windows.
 
-    A clean text's windows are all clean. Of a toxic text, the window that the model finds most toxic so far stands for
-    the text, so words around an insult are not learned as insults. Without both classes the score is the share of ones.
+    The window that the model finds most toxic so far stands for its text, as in scoring: so words around an insult are not
+    learned as insults, and a clean text shows what looks worst in it. Without both classes the score is the share of ones.
     """
     y_all = np.array(labels, dtype=np.int64)
     share = float(y_all.mean()) if len(y_all) else 0.0
@@ -105,21 +140,12 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
     if len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS, dtype=np.float32), prior)
     number: dict[str, int] = {}
-    # Buckets of all words one after the other; millions of numbers, so no Python objects.
-    gathered, sizes, docs = array("i"), array("i"), []
+    docs = []
     for text in texts:
-        words = words_of(text) or [""]
-        for w in words:
-            if w not in number:
-                number[w] = len(number)
-                own = subwords(w)
-                gathered.extend(own)
-                sizes.append(len(own))
-        docs.append(np.array([number[w] for w in words], dtype=np.int32))
+        docs.append(np.array([number.setdefault(w, len(number)) for w in words_of(text) or [""]], dtype=np.int64))
+    flat, size = subwords(list(number))
     del number
-    size = np.frombuffer(sizes, dtype=np.int32).astype(np.int64)
     begin = np.cumsum(size) - size
-    flat = np.frombuffer(gathered, dtype=np.int32)
     rng = np.random.default_rng(seed)
     table = (rng.random((BUCKETS, DIMENSIONS)) - 0.5).astype(np.float32) / DIMENSIONS
     soft = (rng.random((DIMENSIONS, 2)) - 0.5).astype(np.float32)
@@ -131,21 +157,14 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
         order = rng.permutation(len(docs))
         for i in range(0, len(order), BATCH):
             part = order[i : i + BATCH]
-            windows, y = [], []
-            for k in part:
-                words = docs[k]
-                starts = window_starts(len(words))
-                if len(starts) > 1:
-                    if y_all[k] and epoch:
-                        sums = np.concatenate([[0], np.cumsum(per_word[words])])
-                        counts = np.concatenate([[0], np.cumsum(size[words])])
-                        stops = np.minimum(starts + WINDOW, len(words))
-                        at = int(np.argmax((sums[stops] - sums[starts]) / (counts[stops] - counts[starts])))
-                    else:
-                        at = int(rng.integers(len(starts)))
-                    words = words[starts[at] : starts[at] + WINDOW]
-                windows.append(words)
-                y.append(y_all[k])
+            chosen, y = [docs[k] for k in part], y_all[part]
+            lengths = np.array([len(w) for w in chosen])
+            means, n_windows = window_means(np.concatenate(chosen), lengths, per_word, size)
+            windows = []
+            for words, own in zip(chosen, np.split(means, np.cumsum(n_windows)[:-1]), strict=True):
+                at = int(np.argmax(own)) if epoch else int(rng.integers(len(own)))
+                start = at * (WINDOW // 2)
+                windows.append(np.unique(words[start : start + WINDOW]))
             words = np.concatenate(windows)
             lengths = np.array([len(w) for w in windows])
             owner_of_word = np.repeat(np.arange(len(windows)), lengths)

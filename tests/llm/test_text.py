@@ -224,6 +224,53 @@ def test_toxicity_finds_unseen_spellings(spark):
     assert all(flags[i] == (zlib.crc32(str(i).encode()) % 4 == 2) for i, _ in rows)
 
 
+def plain_score(text, model):
+    """Every window of the text in a loop, each word's n-grams one by one."""
+    words = text.lower().split()
+    half, best = toxicity.WINDOW // 2, None
+    for start in range(0, max(len(words) - half, 1), half):
+        total, number = 0.0, 0
+        for word in set(words[start : start + toxicity.WINDOW]):
+            own, _ = toxicity.subwords([word])
+            total += sum(float(model.weights[k]) for k in own)
+            number += len(own)
+        mean = total / max(number, 1)
+        best = mean if best is None else max(best, mean)
+    return 1 / (1 + np.exp(-(best + model.bias)))
+
+
+def test_toxicity_equals_a_loop_over_windows(corpus):
+    rng = np.random.default_rng(9)
+    model = toxicity.Model(rng.normal(size=toxicity.BUCKETS).astype(np.float32), -0.5)
+    texts = [t or "" for _, t in corpus] + ["a " * 64, "b c " * 200, "\u00a0\u2003", "x" * 50_000]
+    # An insult late in a long text, whose words stood far apart earlier.
+    insult = [f"insult{k}" for k in range(12)]
+    calm = [f"calm{k}" for k in range(4_000)]
+    for k, word in enumerate(insult):
+        calm[300 * k] = word
+        model.weights[toxicity.subwords([word])[0]] = 3.0
+    texts += [" ".join(calm), " ".join([*calm, *insult * 3])]
+    for step in (7, len(texts)):
+        bags = toxicity.Bags(model)
+        got = np.concatenate([toxicity.score_texts(texts[k : k + step], bags) for k in range(0, len(texts), step)])
+        assert np.allclose(got, [plain_score(t, model) for t in texts], atol=1e-12)
+    assert got[-1] > got[-2]
+
+
+def test_subwords_are_the_n_grams_of_a_word():
+    words = ["", "ab", "abcdef", "日本語", "a😀b", "ab,", "x" * 3000]
+    flat, sizes = toxicity.subwords(words)
+    for word, own in zip(words, np.split(flat, np.cumsum(sizes)[:-1]), strict=True):
+        marked = f"<{word.rstrip(',')}>"
+        grams = [marked[i : i + n] for n in range(3, 7) for i in range(len(marked) - n + 1)]
+        assert len(own) == len(grams) + 1
+        if len(word) < 10:
+            assert len(set(own)) == len({*grams, (marked,)})
+    # Equal n-grams of different words share a bucket.
+    one, two = (set(toxicity.subwords([w])[0].tolist()) for w in ("stupid", "stuupid"))
+    assert 3 <= len(one & two) < len(one)
+
+
 def test_toxicity_without_labels(spark, none):
     marks = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(none, marks)
