@@ -60,6 +60,12 @@ SHUT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising comment comments commentlist disqus promo promos promoted related replies "
     "reply respond reviews sponsor sponsored sponsors".split()
 )
+# First words of names whose elements hold no article, however much of a page's text they have.
+NEVER_WORDS = SHUT_WORDS | frozenset("consent cookie cookies gdpr modal newsletter notice notices popup popups".split())
+# Elements of running text. Inside an article only their whole names count, so a paragraph "share-price" stays.
+TEXT = frozenset(
+    "a abbr b blockquote cite code dd dt em figcaption h1 h2 h3 h4 h5 h6 i li mark p pre q small span strong sub sup td th u".split()
+)
 MAIN_WORDS = frozenset(
     "article articlebody content entry hentry main maincontent post postbody postcontent story storybody bodytext".split()
 )
@@ -78,11 +84,11 @@ WORD = re.compile(r"[a-z]+")
 class Line:
     """Text of one block."""
 
-    __slots__ = ("parts", "linked", "side", "main", "wrap", "text")
+    __slots__ = ("parts", "linked", "side", "main", "wrap", "title", "text")
 
-    def __init__(self, side: bool, main: bool, wrap: int):
+    def __init__(self, side: bool, main: bool, wrap: int, title: bool = False):
         self.parts: list[str] = []
-        self.linked, self.side, self.main, self.wrap, self.text = 0, side, main, wrap, ""
+        self.linked, self.side, self.main, self.wrap, self.title, self.text = 0, side, main, wrap, title, ""
 
     def length(self) -> int:
         """Characters outside links, white space aside; none if most of the text is links."""
@@ -99,23 +105,34 @@ def _words_of(attributes: str) -> set[str]:
     return found
 
 
-def _shuts(attributes: str) -> bool:
+def _whole_names(attributes: str) -> set[str]:
+    names = " ".join(m[1] or m[2] or m[3] or "" for m in NAMES.finditer(attributes)).lower().split()
+    return {name.replace("-", "").replace("_", "") for name in names}
+
+
+def _first_words(attributes: str) -> set[str]:
     names = " ".join(m[1] or m[2] or m[3] or "" for m in NAMES.finditer(attributes)).lower().split()
-    return any(found[0] in SHUT_WORDS for found in map(WORD.match, names) if found)
+    return {found[0] for found in map(WORD.match, names) if found}
 
 
-def _unwrap(lines: list[Line], parents: list[int]) -> None:
-    """Mark lines inside side elements that may wrap the article; one with most of a page's text stands beside nothing."""
+def _unwrap(lines: list[Line], parents: list[int], never: list[bool]) -> None:
+    """Mark lines inside side elements that may wrap the article.
+
+    On a page without article elements, one with most of the page's text stands beside nothing, unless its name says never.
+    """
     held = [0] * len(parents)
     lift = not any(one.main and not one.side and not one.wrap for one in lines)
     if lift:
+        inside = [False] * len(parents)
+        for k in range(1, len(parents)):
+            inside[k] = never[k] or inside[parents[k]]
         for one in lines:
-            held[one.wrap] += 0 if one.side else one.length()
+            held[one.wrap] += 0 if one.side or inside[one.wrap] else one.length()
         for k in range(len(parents) - 1, 0, -1):
             held[parents[k]] += held[k]
     beside = [False] * len(parents)
     for k in range(1, len(parents)):
-        beside[k] = beside[parents[k]] or not (lift and 2 * held[k] > held[0])
+        beside[k] = beside[parents[k]] or never[k] or not (lift and 2 * held[k] > held[0])
     for one in lines:
         one.side |= beside[one.wrap]
 
@@ -128,7 +145,8 @@ def lines_of(page: str) -> list[Line]:
     stack: list[tuple[str, bool, bool, int]] = []
     opened: Counter[str] = Counter()
     # Of each such element the next one outside, and the innermost from there that no article element lifts.
-    parents, shut = [0], [0]
+    # Whether its name says that it never holds the article.
+    parents, shut, never = [0], [0], [False]
     line = Line(False, False, 0)
     links = 0
     at, end = 0, len(page)
@@ -149,7 +167,7 @@ def lines_of(page: str) -> list[Line]:
     def cut() -> Line:
         if line.parts:
             out.append(line)
-        return Line(*state())
+        return Line(*state(), bool(stack) and stack[-1][0] == "h1")
 
     while at < end:
         match = TOKEN.search(page, at)
@@ -200,11 +218,15 @@ def lines_of(page: str) -> list[Line]:
             wrap = shut[wrap] if name in MAIN else wrap
         elif name != "body" and name != "html":
             # An article may have a header of its own, with its title.
-            beside = words & SIDE_WORDS - {"header"} if main else words & SIDE_WORDS
+            beside = words & SIDE_WORDS
+            if main and beside:
+                beside = (_whole_names(match[3]) if name in TEXT else words) & SIDE_WORDS - {"header"}
             side = side or name in SIDE - WRAPS
             if beside or name in WRAPS and not (main and name == "header"):
                 parents.append(wrap)
-                shut.append(len(shut) if match[3] and _shuts(match[3]) else shut[wrap])
+                first = _first_words(match[3]) if match[3] else set()
+                shut.append(len(shut) if first & SHUT_WORDS else shut[wrap])
+                never.append(bool(first & NEVER_WORDS))
                 wrap = len(parents) - 1
         if match[3] and HIDDEN.search(match[3]):
             side = True
@@ -217,28 +239,46 @@ def lines_of(page: str) -> list[Line]:
     for one in out:
         one.text = " ".join("".join(one.parts).split())
     out = [one for one in out if one.text]
-    _unwrap(out, parents)
+    _unwrap(out, parents, never)
+    return out
+
+
+def _weights(lines: list[Line]) -> np.ndarray:
+    """Lengths of the lines for the windows; where elements name the article, they raise those inside and lower the others.
+
+    There a line inside counts whole, links too, and reaches the surge by itself; outside, only a page title before the article counts.
+    """
+    out = np.array([0 if one.side else one.length() for one in lines], dtype=np.int64)
+    if not any(one.main and not one.side for one in lines):
+        return out
+    leads = False
+    for k in range(len(lines) - 1, -1, -1):
+        one = lines[k]
+        if one.side:
+            continue
+        if one.main:
+            out[k], leads = len(one.text) + SURGE, True
+        elif not (leads and one.title):
+            out[k], leads, one.side = 0, False, True
     return out
 
 
 def main_text(page: str) -> str:
     """The article's blocks, one per line."""
     lines = lines_of(page)
-    marked = any(one.main and not one.side for one in lines)
-    if marked:
-        for one in lines:
-            one.side |= not one.main
-    # Inside the article, links are text as well.
-    lengths = np.array([0 if one.side else len(one.text) if marked else one.length() for one in lines], dtype=np.int64)
+    lengths = _weights(lines)
     if not lengths.any():
         return ""
     # A page whose text never surges is short: any text is its main text.
-    keep = _between(lengths, 1 if marked else min(SURGE, int(lengths.max())))
+    keep = _between(lengths, min(SURGE, int(lengths.max())))
     return "\n".join(one.text for one, kept in zip(lines, keep, strict=True) if kept and not one.side)
 
 
 def _between(lengths: np.ndarray, surge: int) -> np.ndarray:
-    """Lines from each surge (a window that reaches ``surge``) to the dive (a window without text) after it."""
+    """Lines from each surge (a window that reaches ``surge``) to the dive (a window without text) after it.
+
+    Lines with text that lead up to a surge, such as a short title, belong to it.
+    """
     n = len(lengths)
     padded = np.concatenate([lengths, np.zeros(WINDOW - 1, dtype=np.int64)])
     total = np.convolve(padded, np.ones(WINDOW, dtype=np.int64), mode="valid")
@@ -249,6 +289,8 @@ def _between(lengths: np.ndarray, surge: int) -> np.ndarray:
             at += 1
             continue
         stop = at
+        while at and lengths[at - 1] and not keep[at - 1]:
+            at -= 1
         while stop < n and total[stop] > 0:
             stop += 1
         keep[at:stop] = True
@@ -259,11 +301,12 @@ def _between(lengths: np.ndarray, surge: int) -> np.ndarray:
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Main text per page: every column but the markup, then ``text`` (empty if none).
 
-    Inside elements that name the article (article, main, or a class that says so) all blocks are text but those marked
-    as beside it, also where a form, a header or an element with a class like "has-sidebar" stands around the article, or
-    around most of the text of a page without one. Without one, text starts where WINDOW lines hold SURGE characters outside links (or as many as the
-    longest line has) and ends before WINDOW lines hold none. Character references are decoded, white space inside a
-    block becomes one space, blocks are joined by newlines.
+    Text starts where WINDOW lines hold SURGE characters outside links (or as many as the longest line has), with the lines
+    that lead up to it, and ends before WINDOW lines hold none. Elements that name the article (article, main, or a class
+    that says so) raise the lines inside over the surge and lower the others to nothing, but for a page title before them. Lines beside
+    the article (navigation, forms, adverts, notices, comments) count nothing; a form, a header or an element with a class
+    like "has-sidebar" around the article, or around most of the text of a page without article elements, does not make its lines such. Character
+    references are decoded, white space inside a block becomes one space, blocks are joined by newlines.
 
     Null markup counts as empty; broken, unclosed or deeply nested markup is read as far as it goes; rows are independent
     of each other, so repeated pages and ids need no rule; an empty table gives no rows. A column called ``text`` is

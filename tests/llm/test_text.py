@@ -96,6 +96,16 @@ def test_tokens_equal_the_library(spark, docs, corpus, none):
     assert bpe.encode_decode(none, PATH).collect() == []
 
 
+def test_every_character_is_split_as_in_the_library():
+    tokenizer, reference = bpe.Tokenizer(PATH), Tokenizer.from_file(PATH)
+    every = [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000]
+    for at in range(0, len(every), 20_000):
+        texts = [" ".join(f"a{c}1{c}{c}b" for c in every[k : k + 500]) for k in range(at, min(at + 20_000, len(every)), 500)]
+        ids, edges = tokenizer.encode(texts)
+        for k, found in enumerate(reference.encode_batch(texts, add_special_tokens=False)):
+            assert ids[edges[k] : edges[k + 1]].tolist() == found.ids
+
+
 def test_tokens_survive_a_full_cache(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_PIECES", 5)
     monkeypatch.setattr(bpe, "SYMBOLS", 64)
@@ -239,6 +249,59 @@ def plain_score(text, model):
     return 1 / (1 + np.exp(-(best + model.bias)))
 
 
+STORY = "<p>" + "Story words that go on for a while, one after the other. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ('<article><h1>T</h1><p class="share-price">1.20</p><p class="banner-image">A view</p></article>', "T\n1.20\nA view"),
+        ('<article><p>One</p><div class="share-buttons">Share</div><p class="ad">Buy</p><span class="ad">x</span></article>', "One"),
+        ("<body><h1>Title</h1><article><p>One.</p></article></body>", "Title\nOne."),
+        ("<body><h1>Site</h1><div>Line</div><article><p>One.</p></article><h1>More</h1></body>", "One."),
+        ("<h1>Title</h1><div class=share>a</div><article><p>One.</p></article>", "Title\nOne."),
+        ("<h1>Title</h1>" + "<div class=share>a</div>" * 4 + "<article><p>One.</p></article>", "One."),
+        (f"<div><h1>Short title</h1><div>{STORY}</div></div>", "Short title\n" + STORY[3:-4].strip()),
+        ('<div class="cookie-notice">' + "We use cookies for this and for that. " * 4 + "</div><div><h1>T</h1><p>A short story.</p></div>", "T\nA short story."),
+        ('<div class="comments">' + STORY * 3 + "</div><div><h1>T</h1>" + STORY + "</div>", "T\n" + STORY[3:-4].strip()),
+        ('<div class="content-sidebar-wrap">' + STORY + "</div><div>x</div>", STORY[3:-4].strip() + "\nx"),
+        ("<form id=f><article><p>One.</p></article></form>", "One."),
+        ("<article><p>a</p></article>" + "<div>b</div>" * 3 + "<article><p>c</p></article>", "a\nc"),
+    ],
+)
+def test_elements_raise_and_lower_lines(page, expected):
+    assert html.main_text(page) == expected
+
+
+def plain_surges(lengths, surge):
+    """The rule line by line: a line with text is kept if it lies between a surge and the dive after it, or leads up to one."""
+    n = len(lengths)
+    total = [sum(lengths[i : i + html.WINDOW]) for i in range(n)]
+    kept, on = [False] * n, False
+    for i in range(n):
+        on = total[i] > 0 and (on or (total[i] >= surge and lengths[i] > 0))
+        kept[i] = on
+    for i in range(n - 1, 0, -1):
+        kept[i - 1] |= kept[i] and lengths[i] > 0 and lengths[i - 1] > 0
+    return kept
+
+
+def test_surges_and_dives_equal_the_plain_rule():
+    rng = np.random.default_rng(4)
+    for _ in range(500):
+        lengths = rng.choice([0, 0, 0, 5, 20, 60, 200], size=rng.integers(1, 40))
+        if lengths.any():
+            surge = min(html.SURGE, int(lengths.max()))
+            got = [bool(k) for k in html._between(lengths.astype(np.int64), surge)]
+            assert got == plain_surges(lengths.tolist(), surge)
+
+
+def test_a_very_long_page_of_text():
+    words = " ".join(f"w{k}" for k in range(400_000))
+    page = "<nav>menu</nav><div><h1>T</h1><p>" + words + "</p>" + "<p>line &amp; more</p>" * 20_000 + "</div><footer>f</footer>"
+    assert html.main_text(page) == "T\n" + words + "\nline & more" * 20_000
+
+
 def test_toxicity_equals_a_loop_over_windows(corpus):
     rng = np.random.default_rng(9)
     model = toxicity.Model(rng.normal(size=toxicity.BUCKETS).astype(np.float32), -0.5)
