@@ -129,12 +129,47 @@ class Merger:
             size //= 2
 
 
+# Characters that newer Unicode versions count as letters or digits and the library does not, as first and last one.
+NEITHER = (
+    "0558-0558 058B-058C 088F-088F 0C5C-0C5C 0CDC-0CDC 208F-208F 209D-209F A7CE-A7CF A7D2-A7D2 A7D4-A7D4 A7DD-A7DD A7E2-A7E2 "
+    "A7F1-A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A-11B0A 11DB0-11DDB 11DE0-11DE9 11DF1-11DF1 "
+    "1246F-1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 16FF4-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 "
+    "18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168-1B168 1D6A6-1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF "
+    "1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E-2B81E 2CEA2-2CEAD 323B0-33479 "
+    "3D000-3FC3F"
+)
+# First and last capital and the small letter of the first one, where the library knows more of them than Python may.
+CAPITALS = (
+    "1C89-1C89:1C8A A7CB-A7CB:0264 A7CC-A7CC:A7CD A7CE-A7CE:A7CF A7D2-A7D2:A7D3 A7D4-A7D4:A7D5 A7DA-A7DA:A7DB A7DC-A7DC:019B "
+    "10D50-10D65:10D70 16EA0-16EB8:16EBB"
+)
+# A character that is neither letter nor digit nor white space in any version stands for those in the split.
+STAND_IN = "\ue000"
+
+
+def _neither() -> regex.Pattern:
+    spans = [tuple(chr(int(x, 16)) for x in span.split("-")) for span in NEITHER.split()]
+    return regex.compile("[" + "".join(f"{a}-{b}" for a, b in spans) + "]")
+
+
+def _small() -> dict[int, int]:
+    out = {}
+    for row in CAPITALS.split():
+        span, small = row.split(":")
+        first, last = (int(x, 16) for x in span.split("-"))
+        out.update({k: int(small, 16) + k - first for k in range(first, last + 1)})
+    return out
+
+
+NEITHER_CLASS, SMALL = _neither(), _small()
+
+
 class Tokenizer:
     """Byte-level BPE with word ends, as described by a tokenizer file.
 
     Supported: the normalisers NFC, white space to one space and lower case; a split by pattern whose matches are the
-    words; added tokens that are matched in the raw text. Other settings are refused. Letters and digits are those of
-    the regex module's Unicode version, lower case that of Python's.
+    words; added tokens that are matched in the raw text. Other settings are refused. Letters, digits and lower case are
+    those of the tokenizers library, whatever Unicode versions Python and the regex module have.
     """
 
     def __init__(self, path: str):
@@ -173,7 +208,14 @@ class Tokenizer:
 
     def _normal(self, piece: str) -> str:
         # Lower case is taken character by character, so a capital sigma never becomes a final one.
-        return unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+        small = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+        return small if small.isascii() else small.translate(SMALL)
+
+    def _words(self, piece: str) -> list[str]:
+        shown = piece if piece.isascii() else NEITHER_CLASS.sub(STAND_IN, piece)
+        if shown == piece:
+            return self.words.findall(piece)
+        return [piece[m.start() : m.end()] for m in self.words.finditer(shown)]
 
     def _start(self) -> None:
         # Pieces by number, and their tokens one after the other. An added token is a piece; no other piece can hold
@@ -190,7 +232,7 @@ class Tokenizer:
         number: dict[str, int] = {}
         word_of, sizes = [], []
         for piece in new:
-            words = self.words.findall(self._normal(piece))
+            words = self._words(self._normal(piece))
             word_of += [number.setdefault(w, len(number)) for w in words]
             sizes.append(len(words))
         data = [w.encode() for w in number]
