@@ -21,6 +21,9 @@ DIMENSIONS = 8
 # Consecutive words that are averaged together, each different one once; a text has the score of its most toxic window.
 WINDOW = 128
 
+# Words whose n-grams are cut side by side.
+STEP_WORDS = 8_192
+
 # The most labelled rows that training reads, and the most characters of one of them.
 TRAIN_ROWS = 8_000
 TRAIN_CHARS = 20_000
@@ -39,6 +42,11 @@ def words_of(text: str) -> list[str]:
 
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of each word's n-grams and of the word itself, one word after the other, and their number per word."""
+    parts = [_subwords(words[k : k + STEP_WORDS]) for k in range(0, len(words), STEP_WORDS)]
+    return np.concatenate([b for b, _ in parts]), np.concatenate([n for _, n in parts])
+
+
+def _subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     marked = [f"<{w.strip(EDGES)}>" for w in words]
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + np.uint64(1)
     sizes = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
@@ -58,7 +66,7 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
     buckets = (mixed(np.concatenate(hashes)[order]) % np.uint64(BUCKETS)).astype(np.int32)
-    return buckets, np.bincount(owner, minlength=len(words))
+    return buckets, np.bincount(owner, minlength=len(words)).astype(np.int32)
 
 
 @dataclass
@@ -142,9 +150,10 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Model:
     number: dict[str, int] = {}
     docs = []
     for text in texts:
-        docs.append(np.array([number.setdefault(w, len(number)) for w in words_of(text) or [""]], dtype=np.int64))
+        docs.append(np.array([number.setdefault(w, len(number)) for w in words_of(text) or [""]], dtype=np.int32))
     flat, size = subwords(list(number))
     del number
+    size = size.astype(np.int64)
     begin = np.cumsum(size) - size
     rng = np.random.default_rng(seed)
     table = (rng.random((BUCKETS, DIMENSIONS)) - 0.5).astype(np.float32) / DIMENSIONS
