@@ -230,7 +230,7 @@ def test_local_moving_leaves_no_better_move(spark, block_links):
     start = degree.withColumn("mass", F.lit(total)).withColumn("comm", F.col("node"))
     found = communities._move(communities._layout(links, start, block_links), 1.0, 42, 0)[0].toPandas()
     comm, k = dict(zip(found.node, found.to)), dict(zip(found.node, found.k))
-    held = found.groupby("comm").k.sum().to_dict()
+    held = found.groupby("to").k.sum().to_dict()
     near = links.toPandas()
     for node, own in near.groupby("src"):
         to = own.w.groupby(own.dst.map(comm)).sum()
