@@ -64,12 +64,43 @@ def _(spark, sf):
     return rounded(out.select("sample_id", "var_id", "i", "z_norm", "pval_norm", "fdr"))
 
 
-@query("g2_moran_permutation")
-def _(spark, sf):
+def permuted(spark, sf):
     d, logs = inputs(spark, sf)
     genes = variable_genes.default_genes(None, logs, d.obs)
     edges = stable(neighbours.spatial_graph(d.obs))
-    return rounded(autocorrelation.moran_permutation(logs, d.obs, edges, genes))
+    return autocorrelation.moran_permutation(logs, d.obs, edges, genes)
+
+
+@query("g2_moran_permutation")
+def _(spark, sf):
+    return rounded(permuted(spark, sf))
+
+
+# The simulated p itself is random; that it is a whole number of 1/1001 from 1 to 1001 is not, nor are I and where it exists.
+@query(
+    "g2_permutation_checks",
+    f"""WITH sel AS (SELECT var_id FROM (SELECT var_id, var_pop(x) AS v FROM dense_log GROUP BY 1)
+  ORDER BY v DESC, var_id LIMIT 100),
+w AS (SELECT sample_id, src, dst, 1.0::DOUBLE / count(*) OVER (PARTITION BY sample_id, src) AS w FROM neighbours),
+z AS (SELECT sample_id, obs_id, var_id, x - avg(x) OVER (PARTITION BY sample_id, var_id) AS z
+  FROM dense_log JOIN sel USING (var_id)),
+q AS (SELECT sample_id, var_id, count(*) AS n, sum(z * z) AS ss FROM z GROUP BY 1, 2),
+c AS (SELECT a.sample_id, a.var_id, sum(w * a.z * b.z) AS cross_sum, sum(w) AS s0
+  FROM w JOIN z a ON a.obs_id = w.src JOIN z b ON b.obs_id = w.dst AND b.var_id = a.var_id GROUP BY 1, 2)
+SELECT sample_id, var_id, {r('n / s0 * cross_sum / ss', 'i')}, true AS in_range, true AS on_grid
+FROM q JOIN c USING (sample_id, var_id) WHERE ss > 1e-12""",
+    "obs neighbours dense_log",
+)
+def _(spark, sf):
+    steps = F.col("pval_sim") * (autocorrelation.N_PERMS + 1)
+    out = permuted(spark, sf).where("i IS NOT NULL").select(
+        "sample_id",
+        "var_id",
+        "i",
+        (F.round(steps).between(1, autocorrelation.N_PERMS + 1)).alias("in_range"),
+        (F.abs(steps - F.round(steps)) < 1e-6).alias("on_grid"),
+    )
+    return rounded(out)
 
 
 @query(

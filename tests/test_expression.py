@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from spotframe.functions.special import incomplete_beta
-from spotframe.operators import autocorrelation, markers, normalise, panels, reduction, stats, variable_genes
+from spotframe.operators import autocorrelation, markers, normalise, panels, permuted, reduction, stats, variable_genes
 from spotframe.operators.neighbours import lattice_graph
 from spotframe.sources.names import unique_names
 
@@ -174,11 +174,42 @@ def test_moran_signs_and_permutation(spark):
     assert got[0].expected_i == pytest.approx(-1 / 35)
     assert got[1].pval_sim == pytest.approx(0.01) and got[0].pval_sim == 1.0 and got[2].pval_sim is None
     assert got[1].pval_norm < 1e-6 and got[1].z_norm > 0
-    moved = autocorrelation.permutations(obs, 3)
+    moved = permuted.permutations(obs, 3)
     assert moved.groupBy("perm").agg({"as_id": "approx_count_distinct"}).count() == 3
     assert moved.select("perm", "as_id").distinct().count() == moved.count() == 108
 
 
+def test_permuted_sums_match_a_loop(spark):
+    rng = np.random.default_rng(11)
+    samples = {"s": 23, "t": 9, "u": 1}
+    x = {s: np.where(rng.random((n, 5)) < 0.6, rng.integers(1, 9, (n, 5)), 0).astype(float) for s, n in samples.items()}
+    links = {s: [(i, j, float(rng.random())) for i in range(n) for j in range(n) if i != j and rng.random() < 0.4] for s, n in samples.items()}
+    obs = spark.createDataFrame([(s, 100 + 7 * i) for s, n in samples.items() for i in range(n)], "sample_id string, obs_id long")
+    cells = spark.createDataFrame(
+        [(s, 100 + 7 * i, g, float(v)) for s in samples for (i, g), v in np.ndenumerate(x[s]) if v],
+        "sample_id string, obs_id long, var_id long, x double",
+    )
+    w = spark.createDataFrame(
+        [(s, 100 + 7 * i, 100 + 7 * j, v) for s in samples for i, j, v in links[s]], "sample_id string, src long, dst long, w double"
+    )
+    want = {}
+    for s, n in samples.items():
+        for p in range(1, 8):
+            taken = permuted.permutation(n, p, 5)
+            assert sorted(taken) == list(range(n))
+            for g in range(5):
+                a = x[s][taken, g]
+                want[s, p, g] = (sum(v * a[i] * a[j] for i, j, v in links[s]), sum(v * (a[i] + a[j]) for i, j, v in links[s]))
+    small = dict(links=13, values=50, perms=3)
+    for sizes in ({}, small, {"max_spots": 0}, {"max_spots": 10, **small}):
+        rows = permuted.permuted_sums(cells, obs, w, 7, 5, **sizes).collect()
+        got = {(r.sample_id, r.perm, r.var_id): (r.t1, r.t2) for r in rows}
+        assert len(got) == len(rows)
+        for key, sums in want.items():
+            assert got.get(key, (0.0, 0.0)) == pytest.approx(sums), (sizes, key)
+    assert permuted.permuted_sums(cells.limit(0), obs.limit(0), w.limit(0), 3).count() == 0
+
+
 def test_inverse_distance_moran_matches_dense(spark):
     counts, obs, _ = board(spark, [lambda r, c: c, lambda r, c: (r * c) % 3, lambda r, c: 2])
     genes = counts.select("var_id").distinct()
