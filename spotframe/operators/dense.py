@@ -1,11 +1,13 @@
-"""Per-spot dense vectors over a bounded gene selection."""
+"""Per-spot vectors: dense ones over a bounded gene selection, sparse ones over any."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.numeric import SPOT
 from ..functions.storage import stable
@@ -22,9 +24,43 @@ def gene_index(genes: DataFrame, limit: int = MAX_DENSE_GENES) -> DataFrame:
     n = ids.count()
     if n > limit:
         raise ValueError(f"{n} genes selected for dense vectors, the limit is {limit}: select genes first")
+    return gene_positions(ids)
+
+
+def gene_positions(genes: DataFrame) -> DataFrame:
+    """(var_id, pos) with positions from 0 in ``var_id`` order for any part of the gene list."""
+    ids = genes.select("var_id").distinct()
     return ids.select("var_id", (F.row_number().over(Window.orderBy("var_id")) - 1).alias("pos"))
 
 
+def sparse_spots(counts: DataFrame, obs: DataFrame, index: DataFrame, value: str = "x") -> DataFrame:
+    """One row per spot with its stored values as a sparse ``features`` vector over ``index`` positions.
+
+    ``obs`` keeps its other columns. Only non-zeros are packed, so the width of the vectors costs nothing; the table is
+    written in the storage form of a vector and read back as one, without Python in between.
+    """
+    cell = F.struct(F.col("pos").cast("int").alias("pos"), F.col(value).cast("double").alias("v"))
+    packed = (
+        counts.where(F.col(value) != 0)
+        .join(index, "var_id")
+        .groupBy(*SPOT)
+        .agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
+    )
+    cells = F.coalesce("_cells", F.array().cast("array<struct<pos:int,v:double>>"))
+    features = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        index.agg(F.count(F.lit(1)).cast("int")).scalar().alias("size"),
+        cells["pos"].alias("indices"),
+        cells["v"].alias("values"),
+    )
+    kept = [c for c in obs.columns if c != "features"]
+    written = stable(obs.select(*kept).join(packed, SPOT, "left").select(*kept, features.alias("features")))
+    schema = StructType([f for f in written.schema if f.name != "features"] + [StructField("features", VectorUDT())])
+    out = counts.sparkSession.read.schema(schema).parquet(written._written)
+    out._written = written._written
+    return out
+
+
 def dense_spots(counts: DataFrame, obs: DataFrame, index: DataFrame, value: str = "x") -> DataFrame:
     """One row per spot with ``values array<double>`` over ``index`` positions, zeros filled in.
 

@@ -154,6 +154,39 @@ def test_logreg_ranks_the_planted_gene_first(spark, cells, spots, genes):
     assert markers.top_markers(ranking, 2).count() == 6
 
 
+def test_logreg_fit_is_the_optimum_on_a_wide_assay(spark):
+    """More genes than dense vectors allow, a spot without values, a gene without any: the gradient by numpy is 0."""
+    rng = np.random.default_rng(4)
+    width, used = 30_000, [0, 5, 17_000, 29_999]
+    x = np.where(rng.random((40, 4)) < 0.6, rng.normal(size=(40, 4)) * 2, 0.0)
+    x[7] = 0
+    label = np.arange(40) % 3
+    obs = spark.createDataFrame([("s", i) for i in range(40)], "sample_id string, obs_id long")
+    counts = spark.createDataFrame(
+        [("s", i, used[j], float(v)) for (i, j), v in np.ndenumerate(x) if v], "sample_id string, obs_id long, var_id long, x double"
+    )
+    clusters = spark.createDataFrame([("s", i, f"c{g}") for i, g in enumerate(label)], "sample_id string, obs_id long, cluster string")
+    var = spark.range(width).withColumnRenamed("id", "var_id")
+    coefficients, intercepts = markers.logreg_fit(counts, obs, var, clusters)
+    rows = {(r.cluster, r.var_id): r.coefficient for r in coefficients.collect()}
+    assert len(rows) == 3 * width and rows["c0", 1] == 0
+    w = np.array([[rows[f"c{c}", g] for g in used] for c in range(3)])
+    b = {r.cluster: r.intercept for r in intercepts.collect()}
+    z = x @ w.T + [b[f"c{c}"] for c in range(3)]
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    off = p - np.eye(3)[label]
+    assert np.abs(off.T @ x + w).max() < 1e-4 and np.abs(off.sum(axis=0)).max() < 1e-4
+    got = markers.logreg_gradient(counts, obs, clusters, coefficients, intercepts)
+    assert {(r.cluster, r.var_id) for r in got.collect()} == set(rows)
+    # Away from the optimum the operator gives what numpy gives.
+    moved = coefficients.withColumn("coefficient", coefficients.coefficient + 0.5)
+    z = x @ (w + 0.5).T + [b[f"c{c}"] for c in range(3)]
+    off = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True) - np.eye(3)[label]
+    want = off.T @ x + w + 0.5
+    far = {(r.cluster, r.var_id): r.gradient for r in markers.logreg_gradient(counts, obs, clusters, moved, intercepts).collect()}
+    assert all(far[f"c{c}", g] == pytest.approx(want[c, j]) for c in range(3) for j, g in enumerate(used))
+
+
 def board(spark, values):
     """A 6 x 6 square board as lattice spots with the rook graph."""
     obs = spark.createDataFrame(
