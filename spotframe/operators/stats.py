@@ -9,11 +9,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_quantiles, gene_stats, ordered_value_counts, ratio
+from ..functions.numeric import SPOT, exact_quantiles, gene_stats, ordered_value_counts, ratio
 from ..functions.storage import stable
-from .dense import dense_spots, gene_index
+from .dense import gene_positions
+from .permuted import places
 
 OUTLIER_METHODS = ("iqr", "zscore", "mad")
+# A block of values is a matrix of spots by genes; a product is one of genes by genes.
+GENES = 512
+SPOTS = 2_048
+RUN = 64
 
 
 def basic_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
@@ -81,59 +86,106 @@ def gene_correlation(
 ) -> DataFrame:
     """Correlation of every pair of the chosen genes over all spots, as (var_a, var_b, corr).
 
-    ``genes`` is a bounded selection (variable genes): each spot becomes one vector over it and the Gram
-    matrix is tree-aggregated. NULL where a gene is constant.
+    Any number of genes may be chosen; the products come from blocks of genes (see ``gram``). NULL where a gene is
+    constant or there are no spots.
     """
     if method not in ("pearson", "spearman"):
         raise ValueError(f"unknown correlation method {method!r}")
-    index = stable(gene_index(genes))
-    picked = counts.join(index.select("var_id"), "var_id", "left_semi")
+    index = stable(gene_positions(genes))
+    picked = counts.join(index.select("var_id"), "var_id", "left_semi").join(obs.select(*SPOT), SPOT, "left_semi")
     column = value
     if method == "spearman":
         ranked = average_ranks(picked, obs, value)
         # Ranks are shifted so that the missing cells stay at 0; a shift does not change a correlation.
         picked, column = ranked.withColumn("_shifted", F.col("rank") - F.col("zero_rank")), "_shifted"
-    vectors = dense_spots(picked, obs, index, column)
-    sums = gram(vectors, "values").join(index.select(F.col("pos").alias("i"), F.col("var_id").alias("var_a")), "i")
-    sums = sums.join(index.select(F.col("pos").alias("j"), F.col("var_id").alias("var_b")), "j")
-    n = F.col("n")
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    vx = F.greatest(F.col("sxx") - F.col("sx") * F.col("sx") / n, F.lit(0.0))
-    vy = F.greatest(F.col("syy") - F.col("sy") * F.col("sy") / n, F.lit(0.0))
-    return sums.select("var_a", "var_b", ratio(cov, F.sqrt(vx) * F.sqrt(vy)).alias("corr"))
+    cells = stable(picked.join(index, "var_id").select(*SPOT, "pos", F.col(column).cast("double").alias("x")))
+    x, n = F.col("x"), obs.agg(F.count(F.lit(1))).scalar()
+    sums = cells.groupBy("pos").agg(F.sum(x).alias("s"), F.sum(x * x).alias("q"))
+    side = stable(index.join(sums, "pos", "left").fillna(0.0, ["s", "q"]))
+    pairs = gram(cells, places(obs), index.count())
+    # Products are there for one order of a pair; the other has the same.
+    both = F.explode(F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    ))
+    joined = (
+        pairs.select(both.alias("_p"), "sxy")
+        .select(F.col("_p.i").alias("i"), F.col("_p.j").alias("j"), "sxy")
+        .join(side.toDF("i", "var_a", "sx", "sxx"), "i")
+        .join(side.toDF("j", "var_b", "sy", "syy"), "j")
+    )
+    cov = F.col("sxy") - ratio(F.col("sx") * F.col("sy"), n)
+    vx = F.greatest(F.col("sxx") - ratio(F.col("sx") * F.col("sx"), n), F.lit(0.0))
+    vy = F.greatest(F.col("syy") - ratio(F.col("sy") * F.col("sy"), n), F.lit(0.0))
+    return joined.select("var_a", "var_b", ratio(cov, F.sqrt(vx) * F.sqrt(vy)).alias("corr"))
 
 
-def gram(vectors: DataFrame, column: str) -> DataFrame:
-    """Sums of products of every pair of vector positions: (i, j, n, sxy, sx, sy, sxx, syy).
+def gram(cells: DataFrame, place: DataFrame, width: int, genes: int = GENES, spots: int = SPOTS, run: int = RUN) -> DataFrame:
+    """Sums of products over all spots of every pair of gene positions i and j: (i, j, sxy), once per unordered pair.
 
-    Each task adds up one small square matrix with numpy; the partial matrices are summed by Spark.
+    Values are packed by block of ``spots`` places and ``genes`` positions; blocks i and j of the same spots meet by an
+    equi-join, and a task adds up the small products of about ``run`` spot blocks before it hands them on. No task holds
+    more than one product of two blocks of genes. ``cells`` has (sample_id, obs_id, pos, x) and ``place`` numbers the
+    spots of a sample; all ``width`` positions take part, stored or not.
     """
-
-    def partial(batches):
-        total = None
+    blocks = -(-width // genes)
+    spark = cells.sparkSession
+    at, pos = F.col("at"), F.col("pos")
+    cell = F.struct((at % spots).cast("int").alias("at"), (pos % genes).cast("int").alias("slot"), "x")
+    packed = (
+        cells.join(place, SPOT)
+        .groupBy("sample_id", F.floor(at / spots).alias("spots"), F.floor(pos / genes).alias("block"))
+        .agg(F.collect_list(cell).alias("c"))
+        .select("sample_id", "spots", "block", *[F.col(f"c.{f}").alias(f) for f in ("at", "slot", "x")])
+    )
+    # An empty block of spots brings every pair of gene blocks up once, so pairs without a common spot are there too.
+    empty = spark.range(blocks).select(
+        F.lit("").alias("sample_id"),
+        F.lit(-1).cast("long").alias("spots"),
+        F.col("id").alias("block"),
+        F.array().cast("array<int>").alias("at"),
+        F.array().cast("array<int>").alias("slot"),
+        F.array().cast("array<double>").alias("x"),
+    )
+    packed = stable(packed.unionByName(empty))
+    runs = max(1, -(-packed.select("sample_id", "spots").distinct().count() // run))
+    key = ["sample_id", "spots"]
+    left = packed.select(
+        *key, F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.lit(blocks - 1))).alias("j"),
+        *[F.col(f).alias(f"a_{f}") for f in ("at", "slot", "x")],
+    )
+    right = packed.select(
+        *key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("block"))).alias("i"), F.col("block").alias("j"),
+        *[F.col(f).alias(f"b_{f}") for f in ("at", "slot", "x")],
+    )
+    task = ["i", "j", "run"]
+    met = left.join(right, [*key, "i", "j"]).withColumn("run", F.pmod(F.xxhash64(*key), F.lit(runs)))
+    met = met.repartition(*task).sortWithinPartitions(*task).drop(*key)
+
+    def dense(at_, slot, x) -> np.ndarray:
+        out = np.zeros((spots, genes))
+        out[at_, slot] = x
+        return out
+
+    def rows(i: int, j: int, total: np.ndarray) -> pd.DataFrame:
+        a, b = np.meshgrid(i * genes + np.arange(genes), j * genes + np.arange(genes), indexing="ij")
+        kept = (a < width) & (b < width) & (a <= b)
+        return pd.DataFrame({"i": a[kept], "j": b[kept], "sxy": total[kept]})
+
+    def products(batches):
+        at_key, total = None, None
         for pdf in batches:
-            if len(pdf):
-                block = np.vstack(pdf[column].to_numpy())
-                block = np.hstack([block, np.ones((len(block), 1))])
-                total = block.T @ block if total is None else total + block.T @ block
-        if total is not None:
-            yield pd.DataFrame({"i": np.arange(len(total)), "products": list(total)})
-
-    parts = vectors.select(column).mapInPandas(partial, "i long, products array<double>")
-    cells = parts.select("i", F.posexplode("products").alias("j", "s")).groupBy("i", "j").agg(F.sum("s").alias("s"))
-    cells = stable(cells)
-    width = cells.agg(F.max("i")).first()[0]
-    if width is None:
-        return vectors.sparkSession.createDataFrame(
-            [], "j long, i long, sxy double, n double, sx double, sxx double, sy double, syy double"
-        )
-    ones = cells.where(F.col("j") == width).select("i", F.col("s").alias("sx"))
-    squares = cells.where(F.col("i") == F.col("j")).select("i", F.col("s").alias("sxx"))
-    n = F.lit(float(cells.where((F.col("i") == width) & (F.col("j") == width)).first().s))
-    side = ones.join(squares, "i").where(F.col("i") < width)
-    other = side.toDF("j", "sy", "syy")
-    pairs = cells.where((F.col("i") < width) & (F.col("j") < width)).withColumnRenamed("s", "sxy")
-    return pairs.join(side, "i").join(other, "j").withColumn("n", n)
+            for r in pdf.itertuples(index=False):
+                if at_key != (r.i, r.j, r.run):
+                    if at_key is not None:
+                        yield rows(*at_key[:2], total)
+                    at_key, total = (r.i, r.j, r.run), np.zeros((genes, genes))
+                if len(r.a_at) and len(r.b_at):
+                    total += dense(r.a_at, r.a_slot, r.a_x).T @ dense(r.b_at, r.b_slot, r.b_x)
+        if at_key is not None:
+            yield rows(*at_key[:2], total)
+
+    summed = met.mapInPandas(products, "i long, j long, sxy double")
+    return summed if runs == 1 else summed.groupBy("i", "j").agg(F.sum("sxy").alias("sxy"))
 
 
 def expression_stats(counts: DataFrame, obs: DataFrame, members: DataFrame) -> DataFrame:

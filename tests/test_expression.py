@@ -276,6 +276,26 @@ def test_correlations_with_constant_gene(cells, spots, genes):
         stats.gene_correlation(counts, obs, var, "kendall")
 
 
+def test_gram_in_blocks_matches_numpy(spark):
+    rng = np.random.default_rng(12)
+    samples = {"": 9, "t": 14}
+    x = {s: np.where(rng.random((n, 11)) < 0.3, rng.normal(size=(n, 11)), 0.0) for s, n in samples.items()}
+    for m in x.values():
+        m[:, 4] = 0
+    obs = spark.createDataFrame([(s, 3 * i) for s, n in samples.items() for i in range(n)], "sample_id string, obs_id long")
+    cells = spark.createDataFrame(
+        [(s, 3 * i, g, float(v)) for s in samples for (i, g), v in np.ndenumerate(x[s]) if v],
+        "sample_id string, obs_id long, pos long, x double",
+    )
+    whole = np.vstack(list(x.values()))
+    want = whole.T @ whole
+    for genes_, spots_, run in ((512, 2048, 64), (4, 5, 2), (3, 100, 1)):
+        rows = stats.gram(cells, permuted.places(obs), 11, genes_, spots_, run).collect()
+        got = {(r.i, r.j): r.sxy for r in rows}
+        assert len(rows) == len(got) == 66
+        assert all(got[i, j] == pytest.approx(want[i, j], abs=1e-12) for i in range(11) for j in range(i, 11))
+
+
 def test_panel_without_genes_is_skipped(spark, cells, spots, genes):
     counts, obs, var = dense(cells, spots, genes, np.array([[1.0, 3.0], [0.0, 0.0]]))
     table = spark.createDataFrame(
