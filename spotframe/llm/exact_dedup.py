@@ -65,8 +65,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     alone = hashed.where(F.col("_hash").isNull()).select("*", F.col("_id").alias("_keep"), F.lit(1).cast("long").alias("_n"))
     many = hashed.where(F.col("_hash").isNotNull())
-    groups = many.groupBy("_size", "_hash").agg(F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_n"))
-    found = alone.unionByName(many.join(groups, ["_size", "_hash"]))
+    # Written by itself, so that the rows of a large group need not follow its one result row into one task.
+    groups = many.groupBy("_size", "_hash").agg(F.max("_id").alias("_largest"), F.count(F.lit(1)).alias("_rows"))
+    groups = stable(groups.where("_rows > 1"))
+    found = many.join(groups, ["_size", "_hash"], "left").select(
+        *many.columns,
+        F.when(F.col("_rows").isNull(), F.col("_id")).otherwise(F.col("_largest")).alias("_keep"),
+        F.coalesce("_rows", F.lit(1)).cast("long").alias("_n"),
+    )
+    found = alone.unionByName(found)
     return found.select(
         F.col("_id").alias(id_col),
         *[F.col("_rest")[c].alias(c) for c in carry],
