@@ -230,6 +230,54 @@ def _(spark, sf):
     )
 
 
+@query(
+    "d10_randomised_checks",
+    f"""SELECT 'loadings' AS item, a, b, (a = b)::INT::DOUBLE AS value
+FROM generate_series(0, 19) s(a) CROSS JOIN generate_series(0, 19) t(b)
+UNION ALL SELECT 'scores', a, b, (a = b)::INT::DOUBLE FROM generate_series(0, 19) s(a) CROSS JOIN generate_series(0, 19) t(b)
+UNION ALL SELECT kind, a, 0, 0.0 FROM generate_series(0, 19) s(a) CROSS JOIN (VALUES ('means'), ('variances'), ('axes')) t(kind)
+UNION ALL SELECT 'total_variance', 0, 0, {r('sum(v)', 'value', 4)} FROM (SELECT var_samp(x) AS v FROM dense_log GROUP BY var_id)""",
+    "dense_log",
+)
+def _(spark, sf):
+    """All genes, 20 components: orthonormal loadings, scores centred and uncorrelated, and each an axis of the covariance.
+
+    The last is looked up apart from the search: the covariance of every gene with a component's scores is its loading
+    times the component's variance, and the total follows from each component's share.
+    """
+    d, logs = log_layer(spark, sf)
+    logs = stable(logs)
+    scores, loadings, variance = reduction.pca(logs, d.obs, d.var, 20, solver="randomized")
+    loadings, variance = stable(loadings), stable(variance)
+    cells = stable(scores.select("obs_id", F.posexplode("pcs").alias("pc", "v")))
+    pc, zero = F.col("pc"), F.lit(0)
+
+    def row(item, a, b, value, digits=6):
+        return [F.lit(item).alias("item"), a.cast("long").alias("a"), b.cast("long").alias("b"), (F.round(value, digits) + 0.0).alias("value")]
+
+    other = loadings.select("var_id", F.col("pc").alias("pc_b"), F.col("loading").alias("loading_b"))
+    dots = loadings.join(other, "var_id").groupBy("pc", "pc_b").agg(F.sum(F.col("loading") * F.col("loading_b")).alias("v"))
+    pairs = cells.join(cells.toDF("obs_id", "pc_b", "v_b"), "obs_id").groupBy("pc", "pc_b").agg(F.corr("v", "v_b").alias("v"))
+    spread = cells.groupBy("pc").agg(F.avg("v").alias("mean"), F.var_samp("v").alias("seen"))
+    spread = spread.join(variance, "pc").withColumn("off", F.col("seen") / F.col("variance") - 1)
+    n = d.obs.agg(F.count(F.lit(1))).scalar()
+    # Scores have mean 0, so zeros of a gene add nothing to its products with them.
+    products = logs.join(cells, "obs_id").groupBy("var_id", "pc").agg((F.sum(F.col("x") * F.col("v")) / (n - 1)).alias("cov"))
+    largest = variance.agg(F.max("variance")).scalar()
+    axes = loadings.join(products, ["var_id", "pc"], "left").join(variance, "pc")
+    gap = F.coalesce("cov", F.lit(0.0)) - F.col("loading") * F.col("variance")
+    axes = axes.groupBy("pc").agg((F.max(F.abs(gap)) / largest).alias("v"))
+    total = variance.where(pc == 0).select((F.col("variance") / F.col("ratio")).alias("v"))
+    return (
+        dots.select(*row("loadings", pc, F.col("pc_b"), F.col("v")))
+        .unionByName(pairs.select(*row("scores", pc, F.col("pc_b"), F.col("v"), 4)))
+        .unionByName(spread.select(*row("means", pc, zero, F.col("mean"))))
+        .unionByName(spread.select(*row("variances", pc, zero, F.col("off"))))
+        .unionByName(axes.select(*row("axes", pc, zero, F.col("v"), 5)))
+        .unionByName(total.select(*row("total_variance", zero, zero, F.col("v"), 4)))
+    )
+
+
 @query(
     "d11_variance_checks",
     f"""SELECT 200 AS n_components, {r('sum(v)', 'total_variance', 5)}, 1.0::DOUBLE AS ratio_sum, 0 AS n_rising, 1.0::DOUBLE AS last_cumulative

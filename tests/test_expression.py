@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from spotframe.functions.special import incomplete_beta
-from spotframe.operators import autocorrelation, markers, normalise, panels, permuted, reduction, stats, variable_genes
+from spotframe.operators import autocorrelation, krylov, markers, normalise, panels, permuted, reduction, stats, variable_genes
 from spotframe.operators.neighbours import lattice_graph
 from spotframe.sources.names import unique_names
 
@@ -61,6 +61,58 @@ def test_pca_matches_numpy(cells, spots, genes):
     assert sums.top10 == pytest.approx(sums.top50)
 
 
+def test_randomised_components_match_numpy(cells, spots, genes, monkeypatch):
+    rng = np.random.default_rng(5)
+    # Three blocks a search before it starts again, and runs of a few spots.
+    monkeypatch.setattr(krylov, "_CHUNK", 200)
+    m = rng.poisson(0.4, (150, 60)) * np.linspace(1, 3, 60)
+    m[:, 7] = 0
+    m[[0, 77, 149]] = 0
+    counts, obs, var = dense(cells, spots, genes, m)
+    scores, loadings, variance = krylov.leading_components(counts, obs, var, 4, oversample=3, depth=3, tolerance=1e-10)
+    c = m - m.mean(axis=0)
+    values, axes = np.linalg.eigh(c.T @ c / 149)
+    values, axes = values[::-1], axes[:, ::-1][:, :4]
+    axes *= np.where(axes[np.abs(axes).argmax(axis=0), np.arange(4)] < 0, -1, 1)
+    got = {r.obs_id: r.pcs for r in scores.collect()}
+    assert np.allclose([got[i] for i in range(150)], c @ axes, atol=1e-6)
+    l = {(r.var_id, r.pc): r.loading for r in loadings.collect()}
+    assert np.allclose([[l[(j, k)] for k in range(4)] for j in range(60)], axes, atol=1e-6)
+    table = {r.pc: r for r in variance.collect()}
+    assert np.allclose([table[k].variance for k in range(4)], values[:4])
+    assert np.allclose([table[k].ratio for k in range(4)], values[:4] / values.sum())
+    assert max(table[k].residual for k in range(4)) <= 1e-10
+
+
+def test_randomised_components_tell_when_cut_short(cells, spots, genes):
+    m = np.random.default_rng(6).random((90, 50))
+    counts, obs, var = dense(cells, spots, genes, m)
+    rows = krylov.leading_components(counts, obs, var, 3, oversample=1, passes=1)[2].collect()
+    assert max(r.residual for r in rows) > 1e-3
+
+
+@pytest.mark.parametrize("m", [np.zeros((3, 4)), np.full((4, 3), 2.0), np.eye(1, 2), np.outer(np.arange(5.0), [1.0, 2.0])])
+def test_randomised_components_of_low_rank(cells, spots, genes, m):
+    counts, obs, var = dense(cells, spots, genes, m)
+    scores, loadings, variance = reduction.pca(counts, obs, var, 2, solver="randomized")
+    c = m - m.mean(axis=0)
+    k = min(2, *m.shape)
+    want = np.linalg.svd(c, compute_uv=False)[:k] ** 2 / max(len(m) - 1, 1)
+    got = [r.variance for r in variance.orderBy("pc").collect()]
+    assert np.allclose(got, want, atol=1e-9)
+    assert scores.count() == len(m) and loadings.count() == k * m.shape[1]
+    assert all((r.ratio is None) == (want.sum() == 0) for r in variance.collect())
+
+
+def test_randomised_components_of_nothing(cells, spots, genes):
+    none = genes(["a"]).limit(0)
+    for obs, var in ((spots([("s", 0, 0, 0)]), none), (spots([("s", 0, 0, 0)]).limit(0), genes(["a"]))):
+        for table in krylov.leading_components(cells([("s", 0, 0, 1.0)]), obs, var, 3):
+            assert table.count() == 0
+    with pytest.raises(ValueError):
+        reduction.pca(cells([("s", 0, 0, 1.0)]), spots([("s", 0, 0, 0)]), none, solver="qr")
+
+
 def test_seurat_v3_matches_dense_formula(cells, spots, genes):
     rng = np.random.default_rng(4)
     m = rng.negative_binomial(3, 0.3, (60, 25)) * (rng.random((60, 25)) < 0.5)
