@@ -10,6 +10,7 @@ from .core import query, r, rounded, rs
 
 LIMITS = dict(min_counts=200, max_counts=2000, min_genes=10, max_pct_mt=25.0)
 MIN_CELLS = 30
+MAX_GENES = 40
 
 
 def metrics(spark, sf, **kw):
@@ -299,6 +300,19 @@ def _(spark, sf):
     return rounded(qc.filter_cascade(metrics(spark, sf), **LIMITS))
 
 
+@query(
+    "c10_max_genes",
+    f"""SELECT sample_id, count(*) AS initial_spots, count(*) FILTER (WHERE in_tissue) AS after_tissue,
+count(*) FILTER (WHERE in_tissue AND n_genes_by_counts <= {MAX_GENES}) AS after_max_genes,
+count(*) FILTER (WHERE in_tissue AND n_genes_by_counts <= {MAX_GENES}) AS final_spots,
+count(*) - count(*) FILTER (WHERE in_tissue AND n_genes_by_counts <= {MAX_GENES}) AS spots_removed,
+{r(f'count(*) FILTER (WHERE in_tissue AND n_genes_by_counts <= {MAX_GENES}) / count(*)::DOUBLE', 'retention_rate')} FROM metrics GROUP BY 1""",
+    "metrics",
+)
+def _(spark, sf):
+    return rounded(qc.filter_cascade(metrics(spark, sf), max_genes=MAX_GENES))
+
+
 @query("c10_filtered_spots", f"SELECT sample_id, obs_id, total_counts FROM metrics WHERE {PASS}", "metrics")
 def _(spark, sf):
     return qc.filter_spots(metrics(spark, sf), **LIMITS).select("sample_id", "obs_id", "total_counts")
