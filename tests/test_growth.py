@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from spotframe.functions import special
+from spotframe.operators import autocorrelation, blocks, neighbours, permuted
 
 
 def plan_of(df) -> str:
@@ -27,3 +28,52 @@ def test_adjusted_pvalues_walk_each_row_once(spark):
     assert len(got) == 600
     for r in got:
         assert abs(r["pval_adj"] - want.get(r["var_id"], 1.0)) < 1e-12
+
+
+def test_packed_blocks_never_travel_through_the_driver(spark):
+    points = spark.range(40).select(F.lit("s").alias("sample_id"), F.col("id").alias("obs_id"), F.col("id").cast("double").alias("px"))
+    met = blocks.block_pairs(blocks.pack_blocks(points, ["sample_id"], ["obs_id", "px"], block=10), ["sample_id"])
+    assert "broadcast" not in plan_of(met)
+
+
+def test_nearest_measures_few_and_keeps_ties():
+    rng = np.random.default_rng(5)
+    b = np.round(rng.random((60, 3)), 1)
+    ids, aid, k = rng.permutation(60), np.arange(20), 5
+    a = b[np.argsort(ids)][:20]
+    src, dst, d = neighbours._nearest(aid, a, ids, b, k)
+    want = []
+    for i, v in zip(aid, a):
+        far = sorted((float(np.sqrt(((v - w) ** 2).sum())), int(j)) for j, w in zip(ids, b) if j != i)
+        want += [(int(i), j) for _, j in far[:k]]
+    assert list(zip(src.tolist(), dst.tolist())) == want
+
+
+def test_sparse_cells_sum_like_a_matrix():
+    rng, n = np.random.default_rng(6), 400
+
+    class Row:
+        at, slot = rng.integers(0, n, 12), rng.integers(0, 3, 12)
+        var_id, x = slot + 10, rng.random(12)
+        src_at, dst_at, w = rng.integers(0, n, 4000), rng.integers(0, n, 4000), rng.random(4000)
+
+    ends = np.bincount(Row.src_at, Row.w, n) + np.bincount(Row.dst_at, Row.w, n)
+    cells = permuted._Cells(Row, n)
+    var_ids, x = permuted._matrix(Row.at, Row.slot, Row.var_id, Row.x, n)
+    assert var_ids.tolist() == cells.var_ids.tolist()
+    for perm in range(40):
+        taken = permuted.permutation(n, perm)
+        moved = np.empty_like(ends)
+        moved[taken] = ends
+        t1, t2 = cells.sums(taken, ends)
+        assert np.allclose(t1, permuted._cross(x, taken[Row.src_at], taken[Row.dst_at], Row.w))
+        assert np.allclose(t2, moved @ x)
+
+
+def test_cross_products_make_rows_of_shared_genes_only(spark):
+    cells = [("s", 1, 7, 2.0), ("s", 1, 8, 1.0), ("s", 2, 7, 3.0), ("s", 2, 7, 1.0), ("s", 3, 9, 5.0)]
+    counts = spark.createDataFrame(cells, "sample_id string, obs_id long, var_id long, x double")
+    w = spark.createDataFrame([("s", 1, 2, 0.5), ("s", 2, 3, 1.0), ("s", 3, 1, 1.0)], "sample_id string, src long, dst long, w double")
+    out = autocorrelation._cross_products(counts, w)
+    assert "array_intersect" in plan_of(out)
+    assert [(r["var_id"], r["t1"]) for r in out.collect()] == [(7, 4.0)]
