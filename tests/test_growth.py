@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from spotframe.functions import special
-from spotframe.operators import autocorrelation, blocks, neighbours, permuted
+from spotframe.functions import numeric, special
+from spotframe.operators import autocorrelation, blocks, dense, neighbours, permuted, reduction
 
 
 def plan_of(df) -> str:
@@ -77,3 +77,37 @@ def test_cross_products_make_rows_of_shared_genes_only(spark):
     out = autocorrelation._cross_products(counts, w)
     assert "array_intersect" in plan_of(out)
     assert [(r["var_id"], r["t1"]) for r in out.collect()] == [(7, 4.0)]
+
+
+def test_dense_rows_are_filled_once_and_spread(spark, cells, spots, genes):
+    obs = spots([("s", i, 0, 0) for i in range(40)])
+    counts = cells([("s", 3, 0, 2.0), ("s", 7, 2, 5.0)])
+    var = genes("abc")
+    vectors, factors = reduction.scaled_spots(counts, obs, var, max_value=None)
+    out = reduction.scaled_cells(vectors, factors)
+    assert plan_of(out).count("arrowevalpython") == 1
+    assert vectors.rdd.getNumPartitions() == dense.SPREAD * spark.sparkContext.defaultParallelism
+    x = np.zeros((40, 3))
+    x[3, 0], x[7, 2] = 2.0, 5.0
+    std = x.std(axis=0, ddof=1)
+    want = (x - x.mean(axis=0)) / np.where(std > 0, std, 1.0)
+    got = {(r["obs_id"], r["var_id"]): r["z"] for r in out.collect()}
+    assert len(got) == 120
+    assert all(abs(got[i, g] - want[i, g]) < 1e-12 for i in range(40) for g in range(3))
+
+
+def test_running_counts_are_sorted_once(spark):
+    rows = [(g, float(v % 7), c) for g in (1, None, 2) for v, c in enumerate("abcabcabcab")]
+    df = spark.createDataFrame(rows, "g long, x double, c string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = numeric.ordered_value_counts(df, ["g"], "x")
+        rows_sorted = plan_of(out).split("sortmergejoin")[1].split("sortmergejoin")[0]
+        left = rows_sorted[: rows_sorted.index("sum(_part_n")] if "sum(_part_n" in rows_sorted else rows_sorted
+        assert left.index("window") < left.index("sort [")
+        got = {(r["g"], r["x"]): (r["n"], r["n_below"], r["n_total"]) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    counts = [2, 2, 2, 2, 1, 1, 1]
+    assert got == {(g, float(v)): (counts[v], sum(counts[:v]), 11) for g in (1, 2) for v in range(7)}
