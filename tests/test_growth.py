@@ -5,8 +5,11 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from spotframe import fixtures
+from spotframe.dataset import SpatialDataset
 from spotframe.functions import numeric, special
 from spotframe.operators import autocorrelation, blocks, dense, neighbours, permuted, reduction
+from spotframe.sources.visium import read_visium
 
 
 def plan_of(df) -> str:
@@ -111,3 +114,25 @@ def test_running_counts_are_sorted_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     counts = [2, 2, 2, 2, 1, 1, 1]
     assert got == {(g, float(v)): (counts[v], sum(counts[:v]), 11) for g in (1, 2) for v in range(7)}
+
+
+def test_matrices_are_written_in_parts_and_read_back(spark, tmp_path):
+    obs = spark.createDataFrame(
+        [(s, i, i % 2 == 0, i, i, float(i), 1.0) for s in ("a", "b", "empty") for i in range(5, 15)],
+        "sample_id string, obs_id long, in_tissue boolean, array_row int, array_col int, px double, py double",
+    )
+    var = spark.createDataFrame([(3, "x"), (9, "y"), (4, "z")], "var_id long, gene string")
+    cells = [(s, i, g, i + g / 10) for s in ("a", "b") for i in range(5, 15) for g in (3, 9) if s == "a" or i > 9]
+    counts = spark.createDataFrame(cells, "sample_id string, obs_id long, var_id long, x double").repartition(3)
+    fixtures.write_samples(SpatialDataset(obs=obs, var=var, counts=counts), str(tmp_path))
+    for sample, n in (("a", 20), ("b", 10), ("empty", 0)):
+        folder = tmp_path / sample / "filtered_feature_bc_matrix"
+        assert (folder / "matrix.mtx").read_text().splitlines()[1:] == [f"3 10 {n}"]
+        parts = [p.read_text().splitlines() for p in folder.glob("matrix.mtx.part-*")]
+        assert all(p[0] == f"3 10 {n}" for p in parts) and sum(len(p) - 1 for p in parts) == n
+    back = read_visium(spark, f"{tmp_path}/*", load_images=False)
+    named = back.counts.join(back.obs.select("sample_id", "obs_id", "barcode"), ["sample_id", "obs_id"])
+    named = named.join(back.var.select("var_id", "gene"), "var_id").collect()
+    name = {3: "x", 9: "y", 4: "z"}
+    assert sorted((r["sample_id"], r["barcode"], r["gene"], r["x"]) for r in named) == sorted((s, f"B{i}", name[g], x) for s, i, g, x in cells)
+    assert back.obs.count() == 30
