@@ -136,3 +136,39 @@ def test_matrices_are_written_in_parts_and_read_back(spark, tmp_path):
     name = {3: "x", 9: "y", 4: "z"}
     assert sorted((r["sample_id"], r["barcode"], r["gene"], r["x"]) for r in named) == sorted((s, f"B{i}", name[g], x) for s, i, g, x in cells)
     assert back.obs.count() == 30
+
+
+def test_dense_rows_stay_spread_beside_as_many_shuffle_partitions(spark, cells, spots, genes):
+    spread = dense.SPREAD * spark.sparkContext.defaultParallelism
+    settings = {"spark.sql.shuffle.partitions": str(spread), "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        obs = spots([("s", i, 0, 0) for i in range(400)])
+        rows = dense.dense_spots(cells([("s", 3, 0, 2.0)]), obs, dense.gene_index(genes("abc")))
+        assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > spread // 2
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_exact_components_never_fill_rows(spark, cells, spots, genes, monkeypatch):
+    """Components come from stored values alone; a cell that is there twice counts once, as in a dense row."""
+    monkeypatch.setattr(reduction, "dense_spots", None)
+    rng = np.random.default_rng(2)
+    x = np.where(rng.random((30, 4)) < 0.5, rng.random((30, 4)), 0.0)
+    obs = spots([("s", i, 0, 0) for i in range(30)])
+    counts = cells([("s", i, j, float(v)) for (i, j), v in np.ndenumerate(x) if v])
+    scores, loadings, variance = reduction.pca(counts, obs, genes("abcd"), 3)
+    values, axes = np.linalg.eigh(np.cov(x.T))
+    got = {r["pc"]: (r["variance"], r["ratio"]) for r in variance.collect()}
+    assert np.allclose([got[c] for c in range(3)], [(v, v / values.sum()) for v in values[::-1][:3]])
+    found = {(r["var_id"], r["pc"]): r["loading"] for r in loadings.collect()}
+    pcs = {r["obs_id"]: r["pcs"] for r in scores.collect()}
+    w = np.array([[found[g, c] for c in range(3)] for g in range(4)])
+    assert np.allclose(np.abs(w.T @ axes[:, ::-1][:, :3]), np.eye(3))
+    assert np.allclose([pcs[i] for i in range(30)], (x - x.mean(axis=0)) @ w)
+    twice = counts.unionByName(counts.where("obs_id = 3"))
+    cells_of = dense.stored_cells(dense.sparse_spots(twice, obs.select("sample_id", "obs_id"), dense.gene_index(genes("abcd")), unique=True))
+    assert all(r["pos"] == list(np.flatnonzero(x[r["obs_id"]])) for r in cells_of.collect())
