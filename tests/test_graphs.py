@@ -251,3 +251,30 @@ def test_refinement_leaves_no_linked_node_alone(spark, block_links):
     parts = found.groupby("to").node.agg(["count", "min", "max"])
     # Every part is a piece of the chain.
     assert (parts["count"] > 1).all() and (parts["max"] - parts["min"] + 1 == parts["count"]).all()
+
+
+def cliques(spark, n):
+    links = communities.undirected(spark.createDataFrame(ring_of_cliques("s", 0, n), "sample_id string, src long, dst long, weight double"))
+    degree = links.groupBy("sample_id", F.col("src").alias("node")).agg(F.sum("w").alias("k"))
+    return links, degree.withColumn("mass", F.lit(float(22 * n)))
+
+
+def test_a_community_lies_in_as_few_blocks_as_hold_it(spark):
+    """Cliques of five, 22 links each, stay whole; one community of all lies in several blocks, which travel together."""
+    links, degree = cliques(spark, 30)
+    for comm, together in ((F.floor(F.col("node") / 5), True), (F.lit(0), False)):
+        layout = communities._layout(links, degree.withColumn("comm", comm.cast("long")), 60)
+        blocks = layout.homes.groupBy("comm").agg(F.countDistinct("block").alias("n")).toPandas()
+        assert (blocks.n == 1).all() if together else blocks.n[0] > 5
+        assert layout.homes.select("block").distinct().count() > 5
+        assert layout.links.select(*communities.GROUP).distinct().count() == 1
+        layout.drop()
+
+
+def test_samples_of_several_blocks_start_from_a_sketch(spark):
+    """They begin with communities in place of single nodes; other samples begin as they are."""
+    links, degree = cliques(spark, 30)
+    start = degree.withColumn("comm", F.col("node"))
+    assert communities._sketched(links, start, 0.5, 42, 10_000) is start
+    drawn = communities._sketched(links, start, 0.5, 42, 200).toPandas()
+    assert sorted(drawn.node) == list(range(150)) and drawn.comm.nunique() <= 30
