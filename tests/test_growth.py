@@ -172,3 +172,49 @@ def test_exact_components_never_fill_rows(spark, cells, spots, genes, monkeypatc
     twice = counts.unionByName(counts.where("obs_id = 3"))
     cells_of = dense.stored_cells(dense.sparse_spots(twice, obs.select("sample_id", "obs_id"), dense.gene_index(genes("abcd")), unique=True))
     assert all(r["pos"] == list(np.flatnonzero(x[r["obs_id"]])) for r in cells_of.collect())
+
+
+def test_permutation_query_tests_every_gene(spark, monkeypatch):
+    """More genes than any default selection: each gets its p."""
+    from spotframe.registry import spatial
+    from spotframe.registry.core import QUERIES
+
+    rng = np.random.default_rng(8)
+    obs = spark.createDataFrame([("s", i, float(i % 4), float(i // 4)) for i in range(12)], "sample_id string, obs_id long, px double, py double")
+    rows = [("s", int(i), g, float(1 + rng.integers(5))) for g in range(130) for i in rng.choice(12, 3, replace=False)]
+    logs = spark.createDataFrame(rows, "sample_id string, obs_id long, var_id long, x double")
+    monkeypatch.setattr(spatial, "inputs", lambda spark, sf: (type("D", (), {"obs": obs}), logs))
+    found = QUERIES["g2_moran_permutation"](spark, "").collect()
+    assert sorted(r.var_id for r in found) == list(range(130))
+    assert all(1 / 1001 - 1e-6 <= r.pval_sim <= 1 for r in found)
+
+
+def test_permuted_counts_match_a_loop(spark):
+    rng, perms = np.random.default_rng(12), 9
+    samples = {"s": 23, "t": 9}
+    x = {s: np.where(rng.random((n, 5)) < 0.5, rng.integers(1, 9, (n, 5)), 0).astype(float) for s, n in samples.items()}
+    links = {s: [(i, j, float(rng.random())) for i in range(n) for j in range(n) if i != j and rng.random() < 0.4] for s, n in samples.items()}
+    obs = spark.createDataFrame([(s, 100 + 7 * i) for s, n in samples.items() for i in range(n)], "sample_id string, obs_id long")
+    cells = spark.createDataFrame(
+        [(s, 100 + 7 * i, g, float(v)) for s in samples for (i, g), v in np.ndenumerate(x[s]) if v],
+        "sample_id string, obs_id long, var_id long, x double",
+    )
+    w = spark.createDataFrame(
+        [(s, 100 + 7 * i, 100 + 7 * j, v) for s in samples for i, j, v in links[s]], "sample_id string, src long, dst long, w double"
+    )
+    # Gene 9 has no value at any spot, so all of its permutations are alike.
+    want, tests = {}, []
+    for s, n in samples.items():
+        for g in [*range(5), 9]:
+            values = []
+            for p in range(1, perms + 1):
+                a = x[s][permuted.permutation(n, p, 5), g] if g < 5 else np.zeros(n)
+                values.append(2.0 * (sum(v * a[i] * a[j] for i, j, v in links[s]) - 0.5 * sum(v * (a[i] + a[j]) for i, j, v in links[s]) + 3.0))
+            least = float(np.median(values)) - 1e-9
+            tests.append((s, g, 0.5, 2.0, 3.0, least))
+            want[s, g] = int(sum(v >= least for v in values))
+    tests = spark.createDataFrame(tests, "sample_id string, var_id long, mean double, unit double, constant double, least double")
+    small = dict(links=13, values=50, perms=2)
+    for sizes in ({}, small, {"max_spots": 10, **small}, {"max_links": 40}):
+        rows = permuted.permuted_counts(cells, obs, w, tests, perms, 5, **sizes).collect()
+        assert {(r.sample_id, r.var_id): r.larger for r in rows} == want and len(rows) == len(want), sizes
