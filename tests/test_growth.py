@@ -218,3 +218,31 @@ def test_permuted_counts_match_a_loop(spark):
     for sizes in ({}, small, {"max_spots": 10, **small}, {"max_links": 40}):
         rows = permuted.permuted_counts(cells, obs, w, tests, perms, 5, **sizes).collect()
         assert {(r.sample_id, r.var_id): r.larger for r in rows} == want and len(rows) == len(want), sizes
+
+
+def test_inverse_distance_sums_meet_each_pair_once(spark, monkeypatch):
+    """Most spots have no value; a pair of different blocks is met once, for both of them."""
+    rng, n = np.random.default_rng(13), 60
+    xy = rng.random((n, 2)) * 9
+    obs = spark.createDataFrame([("s", i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "sample_id string, obs_id long, px double, py double")
+    x = np.zeros((n, 2))
+    x[:5, 0], x[3:9, 1] = rng.integers(1, 9, 5), rng.integers(1, 9, 6)
+    rows = [("s", i, g, float(v)) for (i, g), v in np.ndenumerate(x) if v]
+    counts = spark.createDataFrame(rows, "sample_id string, obs_id long, var_id long, x double")
+    w = 1 / (np.hypot(*(xy[:, None] - xy[None, :]).transpose(2, 0, 1)) + 1e-10)
+    np.fill_diagonal(w, 0)
+    w /= w.sum(axis=1, keepdims=True)
+    z = x - x.mean(axis=0)
+    met, one = [], autocorrelation.each_pair
+
+    def counted(rows, *rest):
+        met.append([(r.i, r.j) for r in rows.select("i", "j").collect()])
+        return one(rows, *rest)
+
+    monkeypatch.setattr(autocorrelation, "each_pair", counted)
+    for block in (13, 1024):
+        found = autocorrelation.moran_inverse_distance(counts, obs, counts.select("var_id").distinct(), block=block)
+        got = {r.var_id: r.i for r in found.collect()}
+        for g in (0, 1):
+            assert abs(got[g] - (z[:, g] @ w @ z[:, g]) / (z[:, g] @ z[:, g])) < 1e-9, block
+    assert met and all(len({frozenset(p) for p in pairs}) == len(pairs) for pairs in met)
