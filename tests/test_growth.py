@@ -246,3 +246,14 @@ def test_inverse_distance_sums_meet_each_pair_once(spark, monkeypatch):
         for g in (0, 1):
             assert abs(got[g] - (z[:, g] @ w @ z[:, g]) / (z[:, g] @ z[:, g])) < 1e-9, block
     assert met and all(len({frozenset(p) for p in pairs}) == len(pairs) for pairs in met)
+
+
+def test_large_groups_have_few_meeting_blocks(spark):
+    """What pairs of blocks send grows with the points of a group: the number of its blocks has an end."""
+    points = spark.range(60).selectExpr("'s' AS sample_id", "id AS obs_id").unionByName(spark.range(5).selectExpr("'t' AS sample_id", "id AS obs_id"))
+    for options, want in (({}, {"s": 15, "t": 2}), ({"meeting": 3}, {"s": 3, "t": 2}), ({"meeting": 3, "widest": 10}, {"s": 6, "t": 2})):
+        packed = blocks.pack_blocks(points, ["sample_id"], ["obs_id"], block=4, **options).collect()
+        assert {r.sample_id: r.n_blocks for r in packed} == want
+        assert sorted((r.sample_id, p.obs_id) for r in packed for p in r.pts) == sorted(map(tuple, points.collect()))
+    assert [(p.start, p.stop) for p in blocks.pieces(5, 3, 6)] == [(0, 2), (2, 4), (4, 6)]
+    assert len(list(blocks.pieces(3, 100, 6))) == 3
