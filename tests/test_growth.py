@@ -257,3 +257,26 @@ def test_large_groups_have_few_meeting_blocks(spark):
         assert sorted((r.sample_id, p.obs_id) for r in packed for p in r.pts) == sorted(map(tuple, points.collect()))
     assert [(p.start, p.stop) for p in blocks.pieces(5, 3, 6)] == [(0, 2), (2, 4), (4, 6)]
     assert len(list(blocks.pieces(3, 100, 6))) == 3
+
+
+def test_local_fit_reads_columns(spark, monkeypatch):
+    """The driver holds two numbers a gene, not a Python row."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    from spotframe.operators import variable_genes
+
+    rng = np.random.default_rng(14)
+    x, y = np.round(rng.random(40), 2), rng.random(40)
+    genes = spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "lm double, lv double")
+
+    def refused(*_):
+        raise AssertionError("rows in the driver")
+
+    for name in ("toPandas", "collect"):
+        monkeypatch.setattr(Classic, name, refused)
+    fit = variable_genes._local_fit(genes, 0.3)
+    monkeypatch.undo()
+    got = {r.lm: r.fit for r in genes.select("lm", fit("lm").alias("fit")).collect()}
+    order = np.lexsort((y, x))
+    want = variable_genes.local_quadratic(np.unique(x), x[order], y[order], 0.3)
+    assert all(abs(got[v] - w) < 1e-12 for v, w in zip(np.unique(x).tolist(), want))
